@@ -50,7 +50,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_type") == "click", F.concat(F.lit("[b]"), "text", F.lit("[/b]")))
         .when(
             F.col("event_type") == "signup",
-            F.concat(F.lit("　"), "text", F.lit("  !")),
+            F.concat(F.lit("\u3000"), "text", F.lit("\u00a0\u2028!")),
         )
         .otherwise(F.col("text"))
     )
