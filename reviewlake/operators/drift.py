@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from reviewlake.functions.decision import psi_band
 from reviewlake.operators.selection import chronological_halves, exact_quantiles
 from reviewlake.schemas import SOURCE_NATURAL
+from reviewlake.session import pin
 
 # Fixed values of the drift rules.
 PSI_ALERT = 0.2  # reached: alert
@@ -50,18 +51,20 @@ def numeric_psi(halves: DataFrame, column: str, bins: int = BINS) -> DataFrame:
     """One row ``(column, psi)`` for a numeric column of a frame marked with ``half``.
 
     Classes are right-closed intervals between the distinct quantiles of the reference; a current
-    value outside them leaves the denominator. Rows are counted per value first, so the quantiles
-    and the classes only see distinct values.
+    value outside them leaves the denominator. Rows are counted per value first; the counts are
+    stored, and the quantiles and the classes only read those.
     """
-    histogram = (
+    histogram = pin(
         halves.filter(F.col(column).isNotNull())
         .groupBy("half", F.col(column).alias("value"))
         .agg(F.count("*").alias("n"))
     )
     reference = histogram.filter(F.col("half") == "reference")
     probabilities = [i / bins for i in range(bins + 1)]
-    edges = exact_quantiles(reference, "value", "n", probabilities).agg(
-        F.array_sort(F.collect_set("quantile")).alias("edges")
+    edges = pin(
+        exact_quantiles(reference, "value", "n", probabilities).agg(
+            F.array_sort(F.collect_set("quantile")).alias("edges")
+        )
     )
     limits = edges.scalar()
     below = F.size(F.filter("edges", lambda e: e < F.col("value")))
@@ -109,7 +112,7 @@ def categorical_psi(halves: DataFrame, columns: Sequence[str]) -> DataFrame:
         .groupBy("half", "column", "value")
         .agg(F.sum("n").alias("n"))
     )
-    sides = _by_side(counts, ["column", "value"])
+    sides = pin(_by_side(counts, ["column", "value"]))
     totals = sides.groupBy("column").agg(
         F.sum("reference").alias("r"), F.sum("current").alias("c")
     )

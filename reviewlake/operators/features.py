@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from reviewlake.functions.text import analyze, term_counts
+from reviewlake.session import pin
 
 BROADCASTABLE_TERMS = 1_000_000  # a vocabulary capped at this size is safe to broadcast
 
@@ -40,21 +41,28 @@ def document_terms(df: DataFrame, *keep: str) -> DataFrame:
     return df.select(*keep, F.inline_outer("terms"))
 
 
-def term_statistics(docs: DataFrame, vectorizer: Vectorizer) -> DataFrame:
-    """``(term, df, cf)`` of the terms worth keeping.
+def term_statistics(docs: DataFrame, vectorizer: Vectorizer, **extra: Column) -> DataFrame:
+    """``(term, df, cf)`` of the terms worth keeping, plus ``extra`` aggregates over their documents.
 
-    Terms below ``min_df`` go first. With a cap, the frequency at which the cap is reached is read
-    from the histogram of corpus frequencies, so that only the terms above it are ever ordered.
+    Terms below ``min_df`` go first. With a cap, the counts are stored, and the frequency at which
+    the cap is reached is read from the histogram of corpus frequencies, so that only the terms
+    above it are ever ordered.
     """
+    rest = [c for c in docs.columns if c != "terms"] if extra else []
     counted = (
-        docs.select(F.inline("terms"))
+        docs.select(*rest, F.inline("terms"))
         .groupBy("term")
-        .agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+        .agg(
+            F.count("*").alias("df"),
+            F.sum("tf").alias("cf"),
+            *[column.alias(name) for name, column in extra.items()],
+        )
         .filter(F.col("df") >= vectorizer.min_df)
     )
     cap = vectorizer.max_features
     if cap is None:
         return counted
+    counted = pin(counted)
     downward = Window.orderBy(F.col("cf").desc()).rowsBetween(Window.unboundedPreceding, 0)
     reached = (
         counted.groupBy("cf")

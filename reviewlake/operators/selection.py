@@ -147,8 +147,8 @@ def exact_quantiles(
 def chronological_halves(df: DataFrame, moment: str, identifier: str) -> DataFrame:
     """Mark the earliest ``n // 2`` rows ``reference`` and the others ``current``.
 
-    Rows of the same moment are ordered by the digest of their identifier. Only the one key at the
-    cut travels to the tasks; the rows themselves are never ordered or moved.
+    Rows of the same moment are ordered by the digest of their identifier. The one key at the cut is
+    looked up first and becomes a literal of the plan; the rows themselves are never ordered or moved.
     """
     digest = F.sha2(F.col(identifier).cast("string"), 256)
     keyed = df.select(F.col(moment).alias("moment"), digest.alias("digest"))
@@ -157,11 +157,12 @@ def chronological_halves(df: DataFrame, moment: str, identifier: str) -> DataFra
         cells=[F.to_date("moment"), F.col("moment"), F.substring("digest", 1, 4)],
         key=["moment", "digest"],
         targets={"half": lambda n: F.floor(n / 2)},
-    ).select(F.struct("moment", "digest").alias("cut"))
-    early = F.struct(F.col(moment).alias("moment"), digest.alias("digest")) <= cut.scalar()
-    return df.withColumn(
-        "half", F.when(F.coalesce(early, F.lit(False)), "reference").otherwise("current")
-    )
+    ).first()
+    if cut is None:  # fewer than two rows
+        return df.withColumn("half", F.lit("current"))
+    at = F.lit(cut["moment"])
+    early = (F.col(moment) < at) | ((F.col(moment) == at) & (digest <= F.lit(cut["digest"])))
+    return df.withColumn("half", F.when(early, "reference").otherwise("current"))
 
 
 def _cut_digests(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,9 +46,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Compute once and keep the rows in the shared folder, so that a lost executor costs no recompute."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write once to the shared folder and read back: cut lineage that survives lost executors.
+
+    Parquet rather than a plain checkpoint, so that later readers still prune columns and push
+    filters down.
+    """
+    path = f"{shared_folder(df.sparkSession)}/pinned-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def parallelism(spark: SparkSession) -> int:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import cached_property
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,7 +12,7 @@ from reviewlake.operators.features import Vectorizer, smoothed_idf, term_statist
 from reviewlake.operators.scoring import LinearModel, daily_summary, predictions
 from reviewlake.operators.silver import clean_reviews
 from reviewlake.schemas import LABEL_NEGATIVE, LABEL_POSITIVE, SOURCE_BOOST, SOURCE_NATURAL
-from reviewlake.session import in_utc
+from reviewlake.session import in_utc, pin
 from reviewlake.sources.games import read_games
 
 SALT = "verification-salt"
@@ -111,30 +112,20 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 def count_model(clean: DataFrame, vectorizer: Vectorizer = SINGLE_WORDS) -> LinearModel:
     """Word weights from document counts per class: a linear model that SQL can rebuild exactly."""
     docs = with_terms(clean.select("review_text", "label"), vectorizer)
-    sizes = docs.groupBy().agg(
+    sizes = clean.groupBy().agg(
         F.count("*").alias("n"),
         F.count_if(F.col("label") == LABEL_NEGATIVE).alias("n_neg"),
         F.count_if(F.col("label") == LABEL_POSITIVE).alias("n_pos"),
     )
-    negative_counts = (
-        docs.filter(F.col("label") == LABEL_NEGATIVE)
-        .select(F.inline("terms"))
-        .groupBy("term")
-        .agg(F.count("*").alias("df_neg"))
+    counted = term_statistics(
+        docs, vectorizer, df_neg=F.count_if(F.col("label") == LABEL_NEGATIVE)
     )
-    terms = (
-        term_statistics(docs, vectorizer)
-        .join(negative_counts, "term", "left")
-        .withColumn("df_neg", F.coalesce("df_neg", F.lit(0)))
-        .join(F.broadcast(sizes))
-        .select(
-            "term",
-            smoothed_idf(F.col("n"), F.col("df")).alias("idf"),
-            (
-                F.log((F.col("df_neg") + F.col("n_neg") / F.col("n")) / (F.col("n_neg") + 1))
-                - F.log((F.col("df") - F.col("df_neg") + F.col("n_pos") / F.col("n")) / (F.col("n_pos") + 1))
-            ).alias("coef_neg"),
-        )
+    share_negative = (F.col("df_neg") + F.col("n_neg") / F.col("n")) / (F.col("n_neg") + 1)
+    share_positive = (F.col("df") - F.col("df_neg") + F.col("n_pos") / F.col("n")) / (F.col("n_pos") + 1)
+    terms = counted.join(F.broadcast(sizes)).select(
+        "term",
+        smoothed_idf(F.col("n"), F.col("df")).alias("idf"),
+        (F.log(share_negative) - F.log(share_positive)).alias("coef_neg"),
     )
     header = sizes.select(
         F.lit("3").alias("version"),
@@ -145,16 +136,33 @@ def count_model(clean: DataFrame, vectorizer: Vectorizer = SINGLE_WORDS) -> Line
 
 
 class Star:
-    """Everything downstream of silver, built lazily."""
+    """Everything downstream of silver. Silver is a stored table; scores too, where read repeatedly."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.silver = silver(spark, sf_dir)
+    def __init__(self, spark: SparkSession, sf_dir: str, store_scores: bool = False):
+        self.silver = pin(silver(spark, sf_dir))
         self.model = count_model(self.silver)
-        self.predictions = predictions(self.silver, self.model)
-        self.reviews = gold.stg_reviews(self.silver)
-        self.scores = gold.stg_predictions(self.predictions)
         self.games = games(spark)
+        self.reviews = gold.stg_reviews(self.silver)
         self.dates = gold.dim_date(self.reviews)
-        self.fact = gold.fct_review_predictions(self.reviews, self.scores)
-        self.mart = gold.mart_sentiment_daily(self.fact, self.games)
-        self.summary = daily_summary(self.predictions)
+        self._store_scores = store_scores
+
+    @cached_property
+    def predictions(self) -> DataFrame:
+        scored = predictions(self.silver, self.model)
+        return pin(scored) if self._store_scores else scored
+
+    @cached_property
+    def scores(self) -> DataFrame:
+        return gold.stg_predictions(self.predictions)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return gold.fct_review_predictions(self.reviews, self.scores)
+
+    @cached_property
+    def mart(self) -> DataFrame:
+        return gold.mart_sentiment_daily(self.fact, self.games)
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        return daily_summary(self.predictions)

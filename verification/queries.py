@@ -18,7 +18,7 @@ from reviewlake.operators.selection import stratified_folds, stratified_split
 from reviewlake.operators.silver import latest_per_review
 from reviewlake.plans import acceptance
 from reviewlake.schemas import SOURCE_NATURAL
-from reviewlake.session import shared_folder
+from reviewlake.session import pin, shared_folder
 from reviewlake.sources.raw_zone import KEYS, new_reviews, retention_split
 from reviewlake.sources.snapshots import SnapshotTable
 from verification.adapter import (
@@ -118,7 +118,7 @@ def flow_uniqueness(spark, sf_dir):
 
 @query
 def quality_suite_silver(spark, sf_dir):
-    star = Star(spark, sf_dir)
+    star = Star(spark, sf_dir, store_scores=True)
     parts = [
         quality.run_suite(star.silver, "clean_zone", quality.clean_zone_suite(LANGUAGES)),
         quality.run_suite(star.silver, "silver_reviews", quality.silver_reviews_suite()),
@@ -129,7 +129,7 @@ def quality_suite_silver(spark, sf_dir):
 
 @query
 def quality_suite_gold(spark, sf_dir):
-    star = Star(spark, sf_dir)
+    star = Star(spark, sf_dir, store_scores=True)
     facts = quality.run_suite(star.fact, "gold_facts", quality.gold_facts_suite(LANGUAGES))
     return facts.unionByName(quality.run_suite(star.mart, "gold_mart", quality.gold_mart_suite()))
 
@@ -142,7 +142,7 @@ def quality_verdict(spark, sf_dir):
 
 @query
 def quality_gate(spark, sf_dir):
-    return quality.gate_results(silver(spark, sf_dir), LANGUAGES)
+    return quality.gate_results(pin(silver(spark, sf_dir)), LANGUAGES)
 
 
 @query
@@ -194,7 +194,7 @@ def mart_sentiment_daily(spark, sf_dir):
 @query
 def unscored_reviews(spark, sf_dir):
     """Reviews that lack a prediction when only those with votes were scored."""
-    star = Star(spark, sf_dir)
+    star = Star(spark, sf_dir, store_scores=True)
     voted = star.predictions.join(
         star.silver.filter("votes_up > 0").select("review_id"), "review_id", "left_semi"
     )
@@ -203,14 +203,14 @@ def unscored_reviews(spark, sf_dir):
 
 @query
 def fk_orphans(spark, sf_dir):
-    s = Star(spark, sf_dir)
+    s = Star(spark, sf_dir, store_scores=True)
     return gold.fk_orphans(s.fact, s.games, s.dates, s.scores, s.reviews)
 
 
 @query
 def mart_grain_duplicates(spark, sf_dir):
     """The grain test on a mart loaded twice for one of its games."""
-    mart = Star(spark, sf_dir).mart
+    mart = Star(spark, sf_dir, store_scores=True).mart
     return gold.mart_grain_duplicates(
         mart.unionByName(mart.filter(F.col("game_name").like("Baldur%")))
     )
@@ -219,7 +219,7 @@ def mart_grain_duplicates(spark, sf_dir):
 @query
 def range_anomalies(spark, sf_dir):
     """Shares scaled up so that some leave the allowed range; the fact is left as it is."""
-    star = Star(spark, sf_dir)
+    star = Star(spark, sf_dir, store_scores=True)
     scaled = star.mart.withColumns(
         {
             "share_pred_negative": F.col("share_pred_negative") * 10,
@@ -323,23 +323,23 @@ def label_names(spark, sf_dir):
 
 @query
 def chrono_halves(spark, sf_dir):
-    return drift.natural_halves(silver(spark, sf_dir)).select("review_id", "half")
+    return drift.natural_halves(pin(silver(spark, sf_dir))).select("review_id", "half")
 
 
 @query
 def psi_numeric(spark, sf_dir):
-    return rounded(drift.numeric_psi(drift.natural_halves(silver(spark, sf_dir)), "text_len"), "psi")
+    return rounded(drift.numeric_psi(drift.natural_halves(pin(silver(spark, sf_dir))), "text_len"), "psi")
 
 
 @query
 def psi_categorical(spark, sf_dir):
-    halves = drift.natural_halves(silver(spark, sf_dir))
+    halves = drift.natural_halves(pin(silver(spark, sf_dir)))
     return rounded(drift.categorical_psi(halves, drift.CATEGORICAL), "psi")
 
 
 @query
 def input_drift(spark, sf_dir):
-    return rounded(drift.input_drift(drift.natural_halves(silver(spark, sf_dir))), "psi")
+    return rounded(drift.input_drift(drift.natural_halves(pin(silver(spark, sf_dir)))), "psi")
 
 
 @query
@@ -397,7 +397,7 @@ def char_ngrams(spark, sf_dir):
 
 @query
 def tfidf_words(spark, sf_dir):
-    clean = silver(spark, sf_dir)
+    clean = pin(silver(spark, sf_dir))
     docs = with_terms(clean, SINGLE_WORDS)
     weights = tfidf(docs, count_model(clean).terms, "review_id", size_limit=SINGLE_WORDS.max_features)
     return rounded(weights, "tfidf")
@@ -410,13 +410,13 @@ def class_weights(spark, sf_dir):
 
 @query
 def stratified_holdout(spark, sf_dir):
-    natural = silver(spark, sf_dir).filter(F.col("sample_source") == SOURCE_NATURAL)
+    natural = pin(silver(spark, sf_dir)).filter(F.col("sample_source") == SOURCE_NATURAL)
     return stratified_split(natural, "label", "review_id").select("review_id", "label", "split")
 
 
 @query
 def stratified_fold_numbers(spark, sf_dir):
-    natural = silver(spark, sf_dir).filter(F.col("sample_source") == SOURCE_NATURAL)
+    natural = pin(silver(spark, sf_dir)).filter(F.col("sample_source") == SOURCE_NATURAL)
     return stratified_folds(natural, "label", "review_id").select("review_id", "label", "fold")
 
 
@@ -454,7 +454,7 @@ def metrics_per_group(spark, sf_dir):
 @query
 def roc_auc(spark, sf_dir):
     # Nine digits, so that equal texts tie on every engine.
-    return rounded(metrics.roc_auc(rounded(Star(spark, sf_dir).predictions, "proba_negative", digits=9)), "roc_auc")
+    return rounded(metrics.roc_auc(rounded(Star(spark, sf_dir, store_scores=True).predictions, "proba_negative", digits=9)), "roc_auc")
 
 
 @query
@@ -491,18 +491,18 @@ def alias_moves(star: Star) -> DataFrame:
 
 @query
 def promotion_history(spark, sf_dir):
-    history = registry.promotion_history(daily_runs(Star(spark, sf_dir)), "day", by="app_id", gate=0.7)
+    history = registry.promotion_history(daily_runs(Star(spark, sf_dir, store_scores=True)), "day", by="app_id", gate=0.7)
     return rounded(history, "f1_macro", "train_test_gap", "champion_f1")
 
 
 @query
 def alias_current(spark, sf_dir):
-    return registry.current_aliases(alias_moves(Star(spark, sf_dir)))
+    return registry.current_aliases(alias_moves(Star(spark, sf_dir, store_scores=True)))
 
 
 @query
 def versions_with_metrics(spark, sf_dir):
-    star = Star(spark, sf_dir)
+    star = Star(spark, sf_dir, store_scores=True)
     runs = daily_runs(star).filter(F.col("app_id") == 1086940)
     days = star.dates.select(
         F.datediff("date_day", F.lit("2020-01-01").cast("date")).cast("long").alias("version"),
@@ -519,7 +519,7 @@ def versions_with_metrics(spark, sf_dir):
 @query
 def candidate_ranking(spark, sf_dir):
     """Candidates are the apps, folds are the days: mean, deviation, distance to an incumbent."""
-    folds = daily_runs(Star(spark, sf_dir)).select(
+    folds = daily_runs(Star(spark, sf_dir, store_scores=True)).select(
         F.col("app_id").cast("string").alias("candidate"), "f1_macro"
     )
     compared = metrics.against_incumbent(
@@ -611,13 +611,13 @@ def ratio_by_group(spark, sf_dir):
 
 @query
 def zone_reconciliation(spark, sf_dir):
-    star = Star(spark, sf_dir)
+    star = Star(spark, sf_dir, store_scores=True)
     return acceptance.zone_reconciliation(star.silver, star.predictions, star.summary, star.fact, star.mart)
 
 
 @query
 def version_mismatches(spark, sf_dir):
-    star = Star(spark, sf_dir)
+    star = Star(spark, sf_dir, store_scores=True)
     return acceptance.version_mismatches(star.predictions, star.model.value("version"))
 
 
@@ -658,7 +658,7 @@ SMALL_FIT = training.FitSettings(
 
 @query
 def logreg_train(spark, sf_dir):
-    _, row = training.train(silver(spark, sf_dir), SMALL_FIT)
+    _, row = training.train(pin(silver(spark, sf_dir)), SMALL_FIT)
     return portable(row)
 
 
@@ -668,7 +668,7 @@ def hyperparameter_grid(spark, sf_dir):
         SMALL_FIT, vectorizer=SINGLE_WORDS, folds=2, max_iter=20
     )
     folds = training.hyperparameter_grid(
-        silver(spark, sf_dir), cs=(1.0, 10.0), ngram_ranges=((1, 1),), max_features=(2_000,), base=settings
+        pin(silver(spark, sf_dir)), cs=(1.0, 10.0), ngram_ranges=((1, 1),), max_features=(2_000,), base=settings
     )
     return metrics.rank_candidates(metrics.fold_statistics(folds))
 
@@ -679,7 +679,7 @@ def model_bench(spark, sf_dir):
     families = training.candidates(char=words, word=words, trees=10)
     families = [dataclasses.replace(f, hashed=f.hashed and 32) for f in families]
     settings = dataclasses.replace(SMALL_FIT, folds=2, max_iter=20)
-    folds = training.model_bench(silver(spark, sf_dir), settings, families)
+    folds = training.model_bench(pin(silver(spark, sf_dir)), settings, families)
     return metrics.rank_candidates(metrics.fold_statistics(folds))
 
 
