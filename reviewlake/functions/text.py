@@ -9,13 +9,15 @@ from pyspark.sql import Column, functions as F
 # Fixed patterns.
 BBCODE_TAG = r"\[/?[a-zA-Z*]+(?:=[^\]]*)?\]"
 UNICODE_SPACES = r"(?U)[\s\x1c-\x1f]+"
+# The same runs without the lone plain spaces, which are already what they should become.
+SPACES_TO_FOLD = r"(?U)[\s\x1c-\x1f]{2,}|[\s\x1c-\x1f&&[^ ]]"
 WORD = r"[\p{L}\p{N}_]{2,}"
 
 
 def clean_text(text: Column) -> Column:
     """Strip tags, fold every kind of blank into one space, trim."""
     untagged = F.regexp_replace(F.coalesce(text, F.lit("")), BBCODE_TAG, "")
-    return F.trim(F.regexp_replace(untagged, UNICODE_SPACES, " "))
+    return F.trim(F.regexp_replace(untagged, SPACES_TO_FOLD, " "))
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from reviewlake.functions.text import analyze, term_counts
+from reviewlake.operators.selection import keys_at_ranks
 from reviewlake.session import pin
 
 BROADCASTABLE_TERMS = 1_000_000  # a vocabulary capped at this size is safe to broadcast
@@ -44,9 +45,9 @@ def document_terms(df: DataFrame, *keep: str) -> DataFrame:
 def term_statistics(docs: DataFrame, vectorizer: Vectorizer, **extra: Column) -> DataFrame:
     """``(term, df, cf)`` of the terms worth keeping, plus ``extra`` aggregates over their documents.
 
-    Terms below ``min_df`` go first. With a cap, the counts are stored, and the frequency at which
-    the cap is reached is read from the histogram of corpus frequencies, so that only the terms
-    above it are ever ordered.
+    Terms below ``min_df`` go first. With a cap, the counts are stored; when there are more terms than
+    the cap, those above the corpus frequency at which it is reached are kept whole, and the ties at
+    that frequency are taken in the order of their digest. Nothing is sorted as a whole.
     """
     rest = [c for c in docs.columns if c != "terms"] if extra else []
     counted = (
@@ -63,16 +64,26 @@ def term_statistics(docs: DataFrame, vectorizer: Vectorizer, **extra: Column) ->
     if cap is None:
         return counted
     counted = pin(counted)
+    if counted.count() <= cap:
+        return counted
     downward = Window.orderBy(F.col("cf").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    reached = (
+    edge = (
         counted.groupBy("cf")
         .agg(F.count("*").alias("n"))
-        .withColumn("kept", F.sum("n").over(downward))
-        .filter(F.col("kept") >= cap)
-        .agg(F.max("cf").alias("cf"))
+        .withColumn("upto", F.sum("n").over(downward))
+        .filter(F.col("upto") >= cap)
+        .orderBy(F.col("cf").desc())
+        .first()
+    )
+    wanted = cap - (edge["upto"] - edge["n"])
+    digest = F.sha2("term", 256)
+    tied = counted.filter(F.col("cf") == edge["cf"]).select(digest.alias("digest"))
+    last = keys_at_ranks(
+        tied, [F.substring("digest", 1, 4)], ["digest"], {"last": lambda n: F.lit(wanted)}
+    ).first()["digest"]
+    return counted.filter(
+        (F.col("cf") > edge["cf"]) | ((F.col("cf") == edge["cf"]) & (digest <= last))
     )
-    frequent = counted.filter(F.col("cf") >= F.coalesce(reached.scalar(), F.lit(0)))
-    return frequent.orderBy(F.col("cf").desc(), "term").limit(cap)
 
 
 def smoothed_idf(documents: Column, document_frequency: Column) -> Column:

@@ -157,14 +157,20 @@ def daily_series(summary: DataFrame, app_id: int, language: str) -> DataFrame:
     )
 
 
-def top_negative(view: DataFrame, n: int = 20) -> DataFrame:
-    """The most probably negative reviews with their display columns."""
-    shown = view.orderBy(F.col("proba_negative").desc(), "review_id").limit(n)
-    return shown.select(
+def top_negative(view: DataFrame, clean: DataFrame, n: int = 20) -> DataFrame:
+    """The most probably negative reviews with their display columns.
+
+    The ranking only reads scores; the texts of the ``n`` winners are then picked out of the clean
+    zone by a scan that moves no text.
+    """
+    winners = view.orderBy(F.col("proba_negative").desc(), "review_id").limit(n)
+    shown = winners.select("review_id", "proba_negative", "label", "pred_label", "created_at")
+    found = clean.select("review_id", "review_text").join(F.broadcast(shown), "review_id")
+    return found.select(
         "review_id",
         shorten(F.col("review_text")).alias("text"),
         "proba_negative",
         "label",
         "pred_label",
         iso_text(F.col("created_at")).alias("date"),
-    )
+    ).orderBy(F.col("proba_negative").desc(), "review_id")

@@ -10,6 +10,7 @@ from reviewlake.schemas import RETENTION_DAYS, SOURCE_BOOST, SOURCE_NATURAL
 from reviewlake.sources.snapshots import _filesystem, folder_exists
 
 KEYS = ("sample_source", "app_id", "language", "recommendationid")
+PRUNED_APPS = 1000
 KEY_SCHEMA = (
     "recommendationid string, batch string, sample_source string, app_id long, language string"
 )
@@ -46,13 +47,20 @@ class RawZone:
             return self.spark.createDataFrame([], KEY_SCHEMA)
         return self.spark.read.schema(KEY_SCHEMA).parquet(self.keys_path)
 
+    def _seen_of(self, incoming: DataFrame) -> DataFrame:
+        """Seen keys of the apps in the batch: other partitions of the key table are not opened."""
+        apps = [r[0] for r in incoming.select("app_id").distinct().limit(PRUNED_APPS + 1).collect()]
+        if len(apps) > PRUNED_APPS:  # too many for a partition filter: read the whole key table
+            return self.seen()
+        return self.seen().filter(F.col("app_id").isin(apps))
+
     def append(self, incoming: DataFrame, batch: str, day: dt.date) -> int:
         """Store the new reviews of a batch; returns how many, and writes no file for none.
 
         The keys are written first, from the incoming rows; the lines follow, selected by those
         keys. A rerun after a loss between the two repeats both with the same result.
         """
-        fresh = new_reviews(incoming, self.seen().filter(F.col("batch") != batch))
+        fresh = new_reviews(incoming, self._seen_of(incoming).filter(F.col("batch") != batch))
         keys_folder = f"{self.keys_path}/batch={batch}"
         fresh.select(*KEYS).write.mode("overwrite").partitionBy(
             "sample_source", "app_id", "language"

@@ -68,41 +68,37 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(2622380)
     )
     no_update = (F.col("event_type") == "purchase") & (F.col("value") > 100)
-    base = joined.select(
+    # Copies: a = as received, b = later copy in the boost flow, c = earlier version.
+    praised = F.coalesce(F.col("quality") == 1, F.lit(False)) & ~toxic
+    copies = F.array_compact(
+        F.array(F.lit("a"), F.when(negative & ~toxic, "b"), F.when(praised, "c"))
+    )
+    updated = seconds + 60 * k
+    copy = F.col("copy")
+    return joined.withColumn("copy", F.explode(copies)).select(
         F.col("doc_id").cast("string").alias("recommendationid"),
         F.struct(
-            F.when(~((F.col("event_type") == "view") & (F.col("value") > 150)), F.col("user_id").cast("string")).alias("steamid"),
+            F.when(
+                ~((F.col("event_type") == "view") & (F.col("value") > 150)),
+                F.col("user_id").cast("string"),
+            ).alias("steamid"),
             F.when(F.col("event_type") != "error", k).alias("playtime_at_review"),
         ).alias("author"),
         language.alias("language"),
-        text.alias("review"),
+        F.when(copy == "c", F.concat(F.lit("old version "), text)).otherwise(text).alias("review"),
         seconds.alias("timestamp_created"),
-        F.when(~no_update, (seconds + 60 * k).cast("string")).alias("timestamp_updated"),
+        F.when(copy == "b", updated + 7200)
+        .when(copy == "c", updated - 7200)
+        .when(~no_update, updated)
+        .cast("string")
+        .alias("timestamp_updated"),
         (~negative).alias("voted_up"),
         F.floor("value").cast("long").alias("votes_up"),
         (F.col("value") / 500).cast("string").alias("weighted_vote_score"),
         app.cast("long").alias("app_id"),
-        F.when(toxic, SOURCE_BOOST).otherwise(SOURCE_NATURAL).alias("sample_source"),
-        F.lit("a").alias("source_file"),
-        toxic.alias("toxic"),
-        F.coalesce((F.col("quality") == 1) & ~toxic, F.lit(False)).alias("praised"),
-        (seconds + 60 * k).alias("updated"),
-    )
-    boost_copy = base.filter(~F.col("voted_up") & ~F.col("toxic")).withColumns(
-        {
-            "sample_source": F.lit(SOURCE_BOOST),
-            "source_file": F.lit("b"),
-            "timestamp_updated": (F.col("updated") + 7200).cast("string"),
-        }
-    )
-    earlier = base.filter("praised").withColumns(
-        {
-            "source_file": F.lit("c"),
-            "review": F.concat(F.lit("old version "), "review"),
-            "timestamp_updated": (F.col("updated") - 7200).cast("string"),
-        }
+        F.when(toxic | (copy == "b"), SOURCE_BOOST).otherwise(SOURCE_NATURAL).alias("sample_source"),
+        copy.alias("source_file"),
     )
-    return base.unionByName(boost_copy).unionByName(earlier).drop("toxic", "praised", "updated")
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -101,7 +101,7 @@ doc_terms AS (SELECT review_id, label, term, count(*) AS tf FROM tokens GROUP BY
 sizes AS (SELECT count(*) AS n, count(*) FILTER (label = 0) AS n_neg, count(*) FILTER (label = 1) AS n_pos FROM silver),
 stats AS (
   SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf, count(*) FILTER (label = 0) AS df_neg
-  FROM doc_terms GROUP BY term HAVING count(*) >= 2 ORDER BY cf DESC, term LIMIT 100000
+  FROM doc_terms GROUP BY term HAVING count(*) >= 2 ORDER BY cf DESC, sha256(term) LIMIT 100000
 ),
 model AS (
   SELECT term, df, cf, ln((1 + n) / (1 + df)) + 1 AS idf,
@@ -491,6 +491,8 @@ def all_oracles() -> dict[str, str]:
           FROM pred p JOIN silver s USING (review_id)
           WHERE p.sample_source = 'natural' AND p.app_id = 1086940 AND p.language = 'english'
           ORDER BY round(proba_negative, 9) DESC, review_id LIMIT 20""",
+        "scored_counts": f"""WITH {_PRED} SELECT p.label, p.pred_label, count(*) AS n_reviews,
+          CAST(sum(length(s.review_text)) AS BIGINT) AS n_chars FROM silver s JOIN pred p USING (review_id) GROUP BY ALL""",
         "service_state": "SELECT '3' AS version, CAST(0.6 AS DOUBLE) AS threshold FROM (SELECT count(*) FROM documents)",
         "label_names": f"""WITH {_SILVER} SELECT CASE label WHEN 0 THEN 'negative' ELSE 'positive' END AS label_name,
           count(*) AS n_reviews FROM silver GROUP BY ALL""",
@@ -507,7 +509,7 @@ def all_oracles() -> dict[str, str]:
             round(psi_max, 6) AS psi_max, 'text_len' AS psi_max_column, round(share, 6) AS share_out_of_bounds,
             'text_len' AS watched FROM v""",
         "term_stats": f"WITH {_TERMS} SELECT term, df, cf FROM stats",
-        "frequent_terms": f"WITH {_TERMS} SELECT term, df, cf FROM stats ORDER BY cf DESC, term LIMIT 500",
+        "frequent_terms": f"WITH {_TERMS} SELECT term, df, cf FROM stats ORDER BY cf DESC, sha256(term) LIMIT 500",
         "word_bigrams": f"""WITH {_SILVER},
           lists AS (SELECT review_id, regexp_extract_all(lower(review_text), '[\\p{{L}}\\p{{N}}_]{{2,}}') AS ws FROM silver),
           numbered AS (SELECT review_id, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM lists),

@@ -300,11 +300,18 @@ def dashboard_filter_values(spark, sf_dir):
 def top_negative_reviews(spark, sf_dir):
     star = Star(spark, sf_dir)
     ranked = star.predictions.withColumn("proba_negative", F.round("proba_negative", 9))
-    view = serving.dashboard_view(scored_reviews(
-        star.silver.select("review_id", "review_text", "app_id", "language", "sample_source", "created_at", "label"),
-        ranked,
-    ), 1086940, "english")
-    return serving.top_negative(view).drop("label", "pred_label")
+    view = serving.dashboard_view(ranked, 1086940, "english")
+    return serving.top_negative(view, star.silver).drop("label", "pred_label")
+
+
+@query
+def scored_counts(spark, sf_dir):
+    """Clean reviews joined back to their scores, counted per decision."""
+    star = Star(spark, sf_dir)
+    scored = scored_reviews(star.silver, star.predictions)
+    return scored.groupBy("label", "pred_label").agg(
+        F.count("*").alias("n_reviews"), F.sum(F.length("review_text").cast("long")).alias("n_chars")
+    )
 
 
 @query
