@@ -51,9 +51,20 @@ def pin(df: DataFrame) -> DataFrame:
     Parquet rather than a plain checkpoint, so that later readers still prune columns and push
     filters down.
     """
-    path = f"{shared_folder(df.sparkSession)}/pinned-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{_pin_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _pin_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/pinned-{spark.sparkContext.applicationId}"
+
+
+def release_pins(spark: SparkSession) -> None:
+    """Delete what this application pinned; frames read from pins are unusable afterwards."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_pin_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def parallelism(spark: SparkSession) -> int:

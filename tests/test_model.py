@@ -105,7 +105,7 @@ def test_tfidf_is_sublinear_smoothed_and_normalised(spark):
 @pytest.fixture(scope="module")
 def fitted(spark):
     settings = training.FitSettings(
-        vectorizer=Vectorizer("char_wb", (2, 3), min_df=2, max_features=5000), max_iter=50, folds=3
+        vectorizer=Vectorizer("char_wb", (2, 3), min_df=2, max_features=5000), max_iter=50, folds=2
     )
     model, row = training.train(clean_frame(spark, boost=True), settings, "7")
     return model, row.first()
