@@ -30,7 +30,7 @@ def _index(shares: DataFrame, by: Sequence[str]) -> DataFrame:
         part = F.col(side) / F.nullif(F.col(f"all_{side}"), F.lit(0))
         return F.when(part == 0, EMPTY_SHARE).otherwise(part)
 
-    joined = shares.join(F.broadcast(totals), list(by)) if by else shares.crossJoin(totals)
+    joined = shares.join(F.broadcast(totals), list(by))
     term = (F.col("p_current") - F.col("p_reference")) * F.log(F.col("p_current") / F.col("p_reference"))
     return (
         joined.withColumns({"p_reference": share("reference"), "p_current": share("current")})

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from reviewlake.operators.selection import number_cells
+from reviewlake.operators.selection import keys_at_ranks, number_cells
 from reviewlake.schemas import (
     DEFAULT_THRESHOLD,
     LABEL_NEGATIVE,
@@ -14,7 +14,7 @@ from reviewlake.schemas import (
     SOURCE_NATURAL,
     THRESHOLD_GRID,
 )
-from reviewlake.session import parallelism
+from reviewlake.session import parallelism, pin
 
 LATENCY_WINDOW = 2048  # samples kept per endpoint
 
@@ -68,7 +68,7 @@ def roc_auc(scored: DataFrame, score: str = "proba_negative", label: str = "labe
     counted = scored.groupBy(F.col(score).alias("score")).agg(
         F.count_if(negative).alias("neg"), F.count_if(~negative).alias("pos")
     )
-    coarse, fine = number_cells(F.col("score"), F.lit(0.0), F.lit(1.0))
+    coarse, fine = number_cells(F.col("score"), 0.0, 1.0)
     placed = counted.withColumns({"coarse": coarse, "fine": fine})
 
     def pairs(level: DataFrame, parents: list[str], order: str, ties: bool) -> DataFrame:
@@ -178,9 +178,7 @@ def load_summary(log: DataFrame, ok: Column, seconds: Column) -> DataFrame:
 
     ``seconds`` is an aggregate expression giving the length of the campaign.
     """
-    from reviewlake.operators.selection import keys_at_ranks
-
-    histogram = log.groupBy("duration_ms").agg(F.count("*").alias("n"))
+    histogram = pin(log.groupBy("duration_ms").agg(F.count("*").alias("n")))
     totals = log.agg(
         F.count("*").alias("requests"),
         F.count_if(ok).alias("succeeded"),
@@ -188,10 +186,10 @@ def load_summary(log: DataFrame, ok: Column, seconds: Column) -> DataFrame:
         F.coalesce(F.max("duration_ms"), F.lit(0.0)).alias("max"),
         seconds.cast("double").alias("seconds"),
     )
-    bounds = histogram.agg(F.min("duration_ms").alias("lo"), F.max("duration_ms").alias("hi"))
-    cells = number_cells(
-        F.col("duration_ms"), bounds.select("lo").scalar(), bounds.select("hi").scalar()
-    )
+    bounds = histogram.agg(
+        F.min("duration_ms").alias("lo"), F.max("duration_ms").alias("hi")
+    ).first()
+    cells = number_cells(F.col("duration_ms"), bounds["lo"], bounds["hi"])
     # ceil(p / 100 * n) in whole numbers, so that no rounding error moves a rank
     ranks = {
         f"p{p}": (lambda n, p=p: F.greatest(F.floor((n * p + 99) / 100), F.lit(1)))
@@ -199,8 +197,10 @@ def load_summary(log: DataFrame, ok: Column, seconds: Column) -> DataFrame:
     }
     found = keys_at_ranks(histogram, cells, ["duration_ms"], ranks, weight="n")
     wide = found.agg(
-        *[F.max(F.when(F.col("target") == t, F.col("duration_ms"))).alias(t) for t in ranks]
-    )
+        F.struct(
+            *[F.max(F.when(F.col("target") == t, F.col("duration_ms"))).alias(t) for t in ranks]
+        ).alias("found")
+    ).scalar()
     return totals.select(
         "requests",
         "succeeded",
@@ -210,7 +210,7 @@ def load_summary(log: DataFrame, ok: Column, seconds: Column) -> DataFrame:
         .otherwise(0.0)
         .alias("throughput"),
         *[
-            F.coalesce(wide.select(t).scalar(), F.lit(0.0)).alias(t)
+            F.coalesce(wide[t], F.lit(0.0)).alias(t)
             for t in ranks
         ],
         "mean",

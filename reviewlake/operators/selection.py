@@ -100,10 +100,11 @@ def shuffle_key(identifier: Column, seed: int) -> Column:
     return F.sha2(F.concat(identifier.cast("string"), F.lit(f"#{seed}")), 256)
 
 
-def number_cells(value: Column, low: Column, high: Column) -> list[Column]:
-    """Two nested levels of equal-width cells over a numeric range."""
-    width = F.nullif((high - low).cast("double"), F.lit(0.0))
-    place = F.coalesce((value - low).cast("double") / width * FINE_CELLS, F.lit(0.0))
+def number_cells(value: Column, low: float | None, high: float | None) -> list[Column]:
+    """Two nested levels of equal-width cells over a numeric range; one cell for a single value."""
+    if low is None or high is None or not high > low:
+        return [F.lit(0), F.lit(0)]
+    place = (value.cast("double") - F.lit(float(low))) / F.lit(float(high) - float(low)) * FINE_CELLS
     coarse = F.floor(place)
     return [coarse, F.floor((place - coarse) * FINE_CELLS)]
 
@@ -111,17 +112,15 @@ def number_cells(value: Column, low: Column, high: Column) -> list[Column]:
 def exact_quantiles(
     histogram: DataFrame, value: str, weight: str, probabilities: Sequence[float]
 ) -> DataFrame:
-    """Linear-interpolation quantiles of a ``(value, weight)`` histogram: ``(position, quantile)``."""
+    """Linear-interpolation quantiles of a stored ``(value, weight)`` histogram: ``(position, quantile)``."""
     spec = [(i, float(p)) for i, p in enumerate(probabilities)]
     targets: dict[str, Callable[[Column], Column]] = {}
     for i, p in spec:
         targets[f"{i}:lo"] = lambda n, p=p: F.floor((n - 1) * F.lit(p)) + 1
         targets[f"{i}:hi"] = lambda n, p=p: F.ceil((n - 1) * F.lit(p)) + 1
     present = histogram.filter(F.col(value).isNotNull())
-    bounds = present.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    cells = number_cells(
-        F.col(value), bounds.select("lo").scalar(), bounds.select("hi").scalar()
-    )
+    bounds = present.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
+    cells = number_cells(F.col(value), bounds["lo"], bounds["hi"])
     found = keys_at_ranks(present, cells, [value], targets, weight=weight)
     pieces = found.select(
         F.split("target", ":")[0].cast("int").alias("position"),

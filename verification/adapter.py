@@ -116,11 +116,12 @@ def count_model(clean: DataFrame, vectorizer: Vectorizer = SINGLE_WORDS) -> Line
     counted = term_statistics(
         docs, vectorizer, df_neg=F.count_if(F.col("label") == LABEL_NEGATIVE)
     )
-    share_negative = (F.col("df_neg") + F.col("n_neg") / F.col("n")) / (F.col("n_neg") + 1)
-    share_positive = (F.col("df") - F.col("df_neg") + F.col("n_pos") / F.col("n")) / (F.col("n_pos") + 1)
-    terms = counted.join(F.broadcast(sizes)).select(
+    n, n_neg, n_pos = (sizes.select(c).scalar() for c in ("n", "n_neg", "n_pos"))
+    share_negative = (F.col("df_neg") + n_neg / n) / (n_neg + 1)
+    share_positive = (F.col("df") - F.col("df_neg") + n_pos / n) / (n_pos + 1)
+    terms = counted.select(
         "term",
-        smoothed_idf(F.col("n"), F.col("df")).alias("idf"),
+        smoothed_idf(n, F.col("df")).alias("idf"),
         (F.log(share_negative) - F.log(share_positive)).alias("coef_neg"),
     )
     header = sizes.select(
