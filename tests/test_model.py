@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from reviewlake.functions.decision import label_name, predicted_label, psi_band
 from reviewlake.functions.text import analyze, shorten, term_counts
-from reviewlake.operators import explain, metrics, serving, training
+from reviewlake.operators import explain, serving, training
 from reviewlake.operators.features import Vectorizer, term_statistics, tfidf, vocabulary, with_terms
 from reviewlake.operators.registry import Registry, promotion_history
-from reviewlake.operators.scoring import LinearModel, daily_summary, negative_probability, predictions
+from reviewlake.operators.scoring import daily_summary, negative_probability, predictions
 from reviewlake.schemas import CLEAN_SCHEMA, ContractError, conform
 
 GOOD = "superb lovely smooth charming brilliant delightful polished elegant joyful bright".split()

@@ -147,3 +147,12 @@ def test_hot_key_is_reduced_before_the_shuffle(spark, tmp_path, review, write_li
     clean = clean_reviews(scan_raw(spark, str(tmp_path)).good, "salt")
     plan = clean._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_one_review_copied_into_a_third_of_all_rows(spark, tmp_path, review, write_lines):
+    copies = [review("hot", f"version {i}", updated=2_000_000_000 + (i * 11) % 301) for i in range(301)]
+    write_lines(tmp_path, NATURAL, copies + [review(i) for i in range(600)])
+    rows = cleaned(spark, tmp_path)
+    assert len(rows) == 601
+    newest = max(range(301), key=lambda i: (i * 11) % 301)
+    assert rows["hot"]["review_text"] == f"version {newest}"
