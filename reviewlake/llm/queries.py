@@ -6,10 +6,11 @@ from reviewlake.llm.bpe import op6_bpe
 from reviewlake.llm.chat import op1_chat
 from reviewlake.llm.decontaminate import op10_decontamination
 from reviewlake.llm.lang_id import op8_language_id
+from reviewlake.llm.ngram_join import op3_ngram_join
 from reviewlake.llm.quality_rules import op5_quality_rules
 from reviewlake.llm.sharding import op2_sharding
 from reviewlake.llm.warc import op4_warc
 
-QUERIES = {f.__name__: f for f in (op1_chat, op2_sharding, op4_warc, op5_quality_rules, op6_bpe, op8_language_id, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_chat, op2_sharding, op3_ngram_join, op4_warc, op5_quality_rules, op6_bpe, op8_language_id, op10_decontamination)}
 
 ORACLES: dict[str, str] = {}
