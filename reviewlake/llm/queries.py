@@ -9,8 +9,9 @@ from reviewlake.llm.lang_id import op8_language_id
 from reviewlake.llm.ngram_join import op3_ngram_join
 from reviewlake.llm.quality_rules import op5_quality_rules
 from reviewlake.llm.sharding import op2_sharding
+from reviewlake.llm.suffix_dedup import op9_suffix_dedup
 from reviewlake.llm.warc import op4_warc
 
-QUERIES = {f.__name__: f for f in (op1_chat, op2_sharding, op3_ngram_join, op4_warc, op5_quality_rules, op6_bpe, op8_language_id, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_chat, op2_sharding, op3_ngram_join, op4_warc, op5_quality_rules, op6_bpe, op8_language_id, op9_suffix_dedup, op10_decontamination)}
 
 ORACLES: dict[str, str] = {}
