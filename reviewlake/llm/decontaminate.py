@@ -200,11 +200,21 @@ def _aligned(docs: DataFrame, items: Items, schema: str) -> DataFrame:
                     score, end = align(items.words[item], numbers[low:high])
                     if score >= SCORE and score > best.get(item, (0.0, 0))[0]:
                         best[item] = (score, low + end)
+                doc = doc.asDict() if hasattr(doc, "asDict") else doc
                 out += [(doc, items.ids[i], s, e) for i, (s, e) in sorted(best.items())]
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "score", "end_word"])
 
     return docs.select("doc_id", "text").mapInPandas(run, schema)
 
 
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of `docs` whose text holds no benchmark item; columns and repeats stay, a null text passes."""
+    keyed = docs.select("doc_id", "text")
+    found = leaks(keyed.select(F.struct("doc_id", F.xxhash64("text").alias("text_id")).alias("doc_id"), "text"), benchmark)
+    leaky = found.select(F.col("doc_id.doc_id").alias("__doc"), F.col("doc_id.text_id").alias("__text")).distinct()
+    same = docs["doc_id"].eqNullSafe(leaky["__doc"]) & (F.xxhash64(docs["text"]) == leaky["__text"])
+    return docs.join(leaky, same, "left_anti")
+
+
 def op10_decontamination(spark, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -10,6 +10,7 @@ from operator import eq
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -206,6 +207,14 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Trees | No
     return fit(x, y, list(FEATURES.values())) if len(set(y)) > 1 else None
 
 
+def _verdict(found: list, model: Trees | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    base = np.array([f[0] for f in found], dtype=np.int64).reshape(-1, len(BASE))
+    failed = (base[:, 0] < 10) | (100 * base[:, 4] > 20 * base[:, 0])
+    x = np.array([f[1] for f in found]).reshape(-1, len(FEATURES))
+    quality = model.probability(x) if model else np.ones(len(x))
+    return failed, quality, ~failed & (quality >= KEEP_FROM)
+
+
 def judge(docs: DataFrame, model: Trees | None, columns: list[str] | None = None) -> DataFrame:
     """The columns named (doc_id if none are), the base counts, base_failed, quality (the model's) and kept.
 
@@ -225,19 +234,32 @@ def judge(docs: DataFrame, model: Trees | None, columns: list[str] | None = None
         for batch in batches:
             found = [statistics(t) for t in batch["text"]]
             base = np.array([f[0] for f in found], dtype=np.int64).reshape(-1, len(BASE))
-            failed = (base[:, 0] < 10) | (100 * base[:, 4] > 20 * base[:, 0])
-            x = np.array([f[1] for f in found]).reshape(-1, len(FEATURES))
-            quality = model.probability(x) if model else np.ones(len(x))
+            failed, quality, kept = _verdict(found, model)
             out = batch[carried].reset_index(drop=True)
             for i, name in enumerate(BASE):
                 out[name] = base[:, i]
-            yield out.assign(base_failed=failed, quality=quality, kept=~failed & (quality >= KEEP_FROM))
+            yield out.assign(base_failed=failed, quality=quality, kept=kept)
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carried)
     schema += "".join(f", {c} long" for c in BASE) + ", base_failed boolean, quality double, kept boolean"
     return docs.select(*(F.col(f"`{c}`") for c in names)).mapInPandas(run, schema)
 
 
+def keep(docs: DataFrame, model: Trees | None) -> DataFrame:
+    """The rows of `docs` that `judge` keeps, with all their columns as they are."""
+    spark = docs.sparkSession
+    python_ready(spark)
+    shared = spark.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            found = [statistics(t) for t in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array(_verdict(found, model)[2].tolist(), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op5_quality_rules(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return judge(docs, train(docs, table(spark, sf_dir, "labels")))
