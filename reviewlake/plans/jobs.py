@@ -15,24 +15,21 @@ from pyspark.sql import types as T
 
 from reviewlake.operators import drift, gold, quality, training
 from reviewlake.operators.features import Vectorizer
-from reviewlake.operators.registry import Registry
+from reviewlake.operators.registry import Registry, promotion
 from reviewlake.operators.scoring import LinearModel, daily_summary, predictions, scored_reviews
 from reviewlake.operators.silver import clean_reviews
 from reviewlake.plans import acceptance
 from reviewlake.schemas import (
-    CLEAN_SCHEMA,
     LANGUAGES,
-    MIN_F1_MACRO,
     RETENTION_DAYS,
-    SUMMARY_SCHEMA,
     enforce,
     refuse_personal_columns,
 )
 from reviewlake.session import pin
 from reviewlake.sources.games import read_games
-from reviewlake.sources.raw import scan_raw
+from reviewlake.sources.raw import RawScan, scan_raw
 from reviewlake.sources.raw_zone import RawZone, purge_raw
-from reviewlake.sources.snapshots import SnapshotTable
+from reviewlake.sources.snapshots import SnapshotGroup, SnapshotTable
 
 
 class NoChampion(RuntimeError):
@@ -65,31 +62,38 @@ class Lake:
     def table(self, name: str) -> SnapshotTable:
         return SnapshotTable(self.spark, self.path("lake"), name)
 
-    def read(self, *parts: str, schema: T.StructType | None = None) -> DataFrame:
-        reader = self.spark.read.schema(schema) if schema else self.spark.read
-        return reader.parquet(self.path(*parts))
+    @property
+    def star(self) -> SnapshotGroup:
+        return SnapshotGroup(self.spark, self.path("lake"), "gold.star")
+
+    def clean(self) -> DataFrame:
+        return self.table("silver.reviews").read()
 
+    def scored(self) -> DataFrame:
+        return self.table("scored.reviews").read()
 
-def publish(df: DataFrame, path: str) -> None:
-    """Full refresh; readers see the old or the new content once the job commits."""
-    refuse_personal_columns(df).write.mode("overwrite").parquet(path)
+    def summary(self) -> DataFrame:
+        return self.table("scored.summary").read()
 
 
-def ingest_job(lake: Lake, incoming: DataFrame, batch: str, day: dt.date) -> int:
-    """Append the reviews not seen before; the number of new ones."""
+def ingest_job(lake: Lake, incoming: DataFrame | RawScan, batch: str, day: dt.date) -> int:
+    """Append the reviews not seen before, and what a scan set aside; the number of new ones."""
     return RawZone(lake.spark, lake.raw).append(incoming, batch, day)
 
 
 def silver_job(
     lake: Lake, salt: str, today: dt.date | None = None, keep_days: int = RETENTION_DAYS
 ) -> dict:
-    """Scan, clean, deduplicate, pseudonymise, gate, publish, snapshot, purge."""
+    """Scan, clean, deduplicate, pseudonymise, stage, gate, commit, purge.
+
+    The text is written once: the staged snapshot is what the gate reads and what a commit shows.
+    """
     scan = scan_raw(lake.spark, lake.raw)
-    clean = pin(clean_reviews(scan.good, salt))
-    quality.assert_quality(clean, lake.languages)
-    publish(clean, lake.path("clean"))
-    scan.quarantine.write.mode("overwrite").parquet(lake.path("quarantine"))
-    written = lake.table("silver.reviews").overwrite(clean)
+    table = lake.table("silver.reviews")
+    staged = table.stage(refuse_personal_columns(clean_reviews(scan.good, salt)))
+    quality.assert_quality(table.open(staged), lake.languages)
+    written = table.commit(staged)
+    lake.table("raw.quarantine").overwrite(scan.quarantine)
     purged = purge_raw(lake.spark, lake.raw, today or dt.date.today(), keep_days)
     return {**written, "purged_files": purged}
 
@@ -98,7 +102,7 @@ def gate_job(lake: Lake) -> DataFrame:
     """The declarative suite of the clean zone; raises when it fails."""
     results = pin(
         quality.run_suite(
-            lake.read("clean", schema=CLEAN_SCHEMA),
+            lake.clean(),
             "clean_zone",
             quality.clean_zone_suite(lake.languages),
         )
@@ -134,20 +138,21 @@ def champion_model(lake: Lake) -> LinearModel:
 def score_job(lake: Lake) -> dict:
     """Score the clean zone with the champion; scored reviews, daily summary, predictions snapshot."""
     model = champion_model(lake)
-    clean = lake.read("clean", schema=CLEAN_SCHEMA)
+    clean = lake.clean()
     written = lake.table("silver.predictions").overwrite(predictions(clean, model))
     predicted = lake.table("silver.predictions").read()
-    publish(scored_reviews(clean, predicted), lake.path("scored", "reviews"))
-    publish(daily_summary(predicted), lake.path("scored", "summary"))
+    scored = refuse_personal_columns(scored_reviews(clean, predicted))
+    lake.table("scored.reviews").overwrite(scored)
+    lake.table("scored.summary").overwrite(daily_summary(predicted))
     return written
 
 
 def drift_job(lake: Lake, commit: str = "unknown", n_min: int = 20) -> bool:
     """Measure, report, alert; whether it alerted."""
-    halves = drift.natural_halves(lake.read("clean", schema=CLEAN_SCHEMA))
+    halves = drift.natural_halves(lake.clean())
     inputs = pin(drift.input_drift(halves))
     ratios = pin(
-        drift.prediction_drift(lake.read("scored", "summary", schema=SUMMARY_SCHEMA), n_min=n_min)
+        drift.prediction_drift(lake.summary(), n_min=n_min)
     )
     verdict = pin(drift.drift_verdict(inputs, ratios))
     drift.write_report(inputs, ratios, verdict, lake.path("scored", "drift_report"))
@@ -172,11 +177,11 @@ def gold_job(lake: Lake, games_csv: str) -> dict[str, int]:
         "mart_sentiment_daily": mart,
     }
     gold_tests(tables, lake.languages)
-    for name in ("dim_game", "dim_date", "fct_review_predictions", "mart_sentiment_daily"):
-        publish(tables[name], lake.path("gold", name))
+    names = ("dim_game", "dim_date", "fct_review_predictions", "mart_sentiment_daily")
+    rows = lake.star.overwrite({name: refuse_personal_columns(tables[name]) for name in names})
     for name in ("stg_reviews", "stg_predictions"):
         tables[name].createOrReplaceTempView(name)
-    return {"fact": fact.count(), "mart": mart.count()}
+    return {"fact": rows["fct_review_predictions"], "mart": rows["mart_sentiment_daily"]}
 
 
 def gold_tests(tables: dict[str, DataFrame], languages: Sequence[str]) -> None:
@@ -227,14 +232,14 @@ def lake_gate_job(lake: Lake, zone: str = "all") -> DataFrame:
     if zone in ("gold", "all"):
         parts.append(
             quality.run_suite(
-                lake.read("gold", "fct_review_predictions"),
+                lake.star.read("fct_review_predictions"),
                 "gold_facts",
                 quality.gold_facts_suite(lake.languages),
             )
         )
         parts.append(
             quality.run_suite(
-                lake.read("gold", "mart_sentiment_daily"),
+                lake.star.read("mart_sentiment_daily"),
                 "gold_mart",
                 quality.gold_mart_suite(lake.languages),
             )
@@ -250,7 +255,7 @@ def lake_gate_job(lake: Lake, zone: str = "all") -> DataFrame:
 def train_job(lake: Lake, settings: training.FitSettings = training.FitSettings()) -> dict:
     """Train, record the run, register the version, promote it when it earns it."""
     registry = lake.registry
-    clean = lake.read("clean", schema=CLEAN_SCHEMA)
+    clean = lake.clean()
     known = registry.versions().agg(F.max("version").alias("v")).first()["v"] or 0
     model, metrics = training.train(clean, settings, version=str(known + 1))
     row = metrics.first().asDict()
@@ -262,7 +267,8 @@ def train_job(lake: Lake, settings: training.FitSettings = training.FitSettings(
     save_model(model, location)
     before = registry.champion_f1()
     version = registry.add_version(run_id, location)
-    promoted = row["f1_macro"] >= MIN_F1_MACRO and (before is None or row["f1_macro"] > before)
+    earned = promotion(F.col("f1_macro"), F.lit(before).cast("double"))
+    promoted = bool(metrics.select(earned).first()[0])
     if promoted:
         registry.move_champion(version)
     return {**row, "version": version, "promoted": promoted, "champion_f1_before": before}
@@ -303,10 +309,10 @@ def weekly_chain(
 
 def acceptance_job(lake: Lake, ratio_bounds: tuple[float, float] = (0.5, 2.0)) -> DataFrame:
     """Every acceptance check of a finished chain as ``(check, success)``."""
-    clean = lake.read("clean", schema=CLEAN_SCHEMA)
-    scored = lake.read("scored", "reviews")
-    summary = lake.read("scored", "summary", schema=SUMMARY_SCHEMA)
-    fact, mart = lake.read("gold", "fct_review_predictions"), lake.read("gold", "mart_sentiment_daily")
+    clean = lake.clean()
+    scored = lake.scored()
+    summary = lake.summary()
+    fact, mart = lake.star.read("fct_review_predictions"), lake.star.read("mart_sentiment_daily")
     silver = lake.table("silver.reviews")
     champion = str(lake.registry.champion_version())
 

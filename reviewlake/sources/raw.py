@@ -40,8 +40,8 @@ def raw_paths(
 def scan_raw(spark: SparkSession, paths: str | list[str]) -> RawScan:
     """Read every JSON-lines file below the paths; the partition values come from the path.
 
-    A broken line, a file outside the partition layout, or a review without a vote is set
-    aside and kept visible instead of being guessed or silently lost.
+    A broken line, a file outside the partition layout, or a review without id, creation time or
+    vote is set aside and kept visible instead of being guessed or silently lost.
     """
     lines = (
         spark.read.schema(RAW_SCHEMA)
@@ -70,17 +70,13 @@ def with_path_columns(lines: DataFrame, path) -> DataFrame:
 
 
 def split_raw(placed: DataFrame) -> RawScan:
-    """Separate usable rows from the others."""
-    blank = F.coalesce(F.trim("_corrupt_record") == "", F.lit(False)) | (
-        F.col("_corrupt_record").isNull()
-        & F.col("recommendationid").isNull()
-        & F.col("review").isNull()
-        & F.col("voted_up").isNull()
-        & F.col("timestamp_created").isNull()
-    )
+    """Separate usable rows from the others; only lines without any content are passed over."""
+    blank = F.coalesce(F.trim("_corrupt_record") == "", F.lit(False))
     reason = (
         F.when(F.col("_corrupt_record").isNotNull(), "invalid json")
         .when(F.col("app_id").isNull() | F.col("language").isNull(), "outside the partition layout")
+        .when(F.col("recommendationid").isNull(), "missing id")
+        .when(F.col("timestamp_created").isNull(), "missing creation time")
         .when(F.col("voted_up").isNull(), "missing vote")
     )
     judged = placed.filter(~blank).withColumn("reason", reason)

@@ -4,37 +4,47 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from reviewlake.schemas import RETENTION_DAYS, SOURCE_BOOST, SOURCE_NATURAL
+from reviewlake.schemas import RETENTION_DAYS, SOURCE_NATURAL
+from reviewlake.session import pin
+from reviewlake.sources.raw import RawScan
 from reviewlake.sources.snapshots import _filesystem, folder_exists
 
 KEYS = ("sample_source", "app_id", "language", "recommendationid")
-PRUNED_APPS = 1000
 KEY_SCHEMA = (
     "recommendationid string, batch string, sample_source string, app_id long, language string"
 )
 
 
+class BatchConflict(ValueError):
+    """A batch name that already holds other reviews."""
+
+
 def new_reviews(incoming: DataFrame, seen: DataFrame) -> DataFrame:
-    """Reviews of which the flow holds no copy yet, one row per key.
+    """Reviews of which the flow holds no copy yet, one row per key: the latest update of each.
 
     The seen keys grow with the zone, so both sides are hashed on the key; nothing is broadcast by
-    hand. The incoming batch is reduced to one row per key first.
+    hand. The incoming batch is reduced to one row per key first; copies with equal times are told
+    apart by their content, so that a rerun picks the same one.
     """
-    return incoming.dropDuplicates(list(KEYS)).join(seen.select(*KEYS), list(KEYS), "left_anti")
-
-
-def merged_keys(seen: DataFrame, added: DataFrame) -> DataFrame:
-    """The key table after a batch."""
-    return seen.select(*KEYS).unionByName(added.select(*KEYS)).distinct()
+    order = [
+        F.coalesce("timestamp_updated", "timestamp_created").desc_nulls_last(),
+        F.xxhash64(F.to_json(F.struct(*(F.col(c) for c in incoming.columns if c not in KEYS)))),
+    ]
+    ranked = incoming.withColumn("_copy", F.row_number().over(Window.partitionBy(*KEYS).orderBy(*order)))
+    latest = ranked.filter(F.col("_copy") == 1).drop("_copy")
+    return latest.join(seen.select(*KEYS), list(KEYS), "left_anti")
 
 
 class RawZone:
-    """Raw JSON lines and the Parquet table of keys already stored.
+    """Raw JSON lines, the Parquet table of keys stored, and what was set aside.
 
-    A batch has a name. Writing the same batch twice replaces it: keys of the batch itself do not
-    count as seen, and both its folders are overwritten, so a retried job stores nothing twice.
+    A batch becomes seen when its keys are written, last and from the lines that are stored. A loss
+    in between leaves lines without keys: a retry under the same name replaces them, one under
+    another name stores the reviews again, and cleaning drops the copies; nothing is lost. Once its
+    keys are written a batch never changes: the same reviews again are no change, other reviews
+    under its name are refused.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -47,43 +57,74 @@ class RawZone:
             return self.spark.createDataFrame([], KEY_SCHEMA)
         return self.spark.read.schema(KEY_SCHEMA).parquet(self.keys_path)
 
-    def _seen_of(self, incoming: DataFrame) -> DataFrame:
-        """Seen keys of the apps in the batch: other partitions of the key table are not opened."""
-        apps = [r[0] for r in incoming.select("app_id").distinct().limit(PRUNED_APPS + 1).collect()]
-        if len(apps) > PRUNED_APPS:  # too many for a partition filter: read the whole key table
-            return self.seen()
-        return self.seen().filter(F.col("app_id").isin(apps))
+    def quarantine(self) -> DataFrame | None:
+        """Everything set aside so far, with its reason and batch."""
+        path = f"{self.root}/_quarantine"
+        return self.spark.read.parquet(path) if folder_exists(self.spark, path) else None
 
-    def append(self, incoming: DataFrame, batch: str, day: dt.date) -> int:
-        """Store the new reviews of a batch; returns how many, and writes no file for none.
+    def append(self, incoming: DataFrame | RawScan, batch: str, day: dt.date) -> int:
+        """Store the new reviews of a batch, of any flow; returns how many, and writes no file for none.
 
-        The keys are written first, from the incoming rows; the lines follow, selected by those
-        keys. A rerun after a loss between the two repeats both with the same result.
+        A scan also hands over what it set aside, which is stored beside the lines.
         """
-        fresh = new_reviews(incoming, self._seen_of(incoming).filter(F.col("batch") != batch))
+        if isinstance(incoming, RawScan):
+            aside = incoming.quarantine
+            aside.write.mode("overwrite").parquet(f"{self.root}/_quarantine/batch={batch}")
+            incoming = incoming.good
+        seen = self.seen()
+        fresh = pin(new_reviews(incoming, seen.filter(F.col("batch") != batch)))
         keys_folder = f"{self.keys_path}/batch={batch}"
-        fresh.select(*KEYS).write.mode("overwrite").partitionBy(
-            "sample_source", "app_id", "language"
-        ).parquet(keys_folder)
-        stored = self.spark.read.schema(KEY_SCHEMA).parquet(self.keys_path).filter(
-            F.col("batch") == batch
-        )
-        count = stored.count()
-        if count == 0:
-            return 0
-        for source in (SOURCE_NATURAL, SOURCE_BOOST):
-            target = self.root if source == SOURCE_NATURAL else f"{self.root}/sample={source}"
-            (
-                fresh.filter(F.col("sample_source") == source)
-                .drop("sample_source", "source_file")
-                .withColumns({"dt": F.lit(day.isoformat()), "batch": F.lit(batch)})
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("app_id", "language", "dt", "batch")
-                .json(target)
+        if folder_exists(self.spark, f"{keys_folder}/_SUCCESS"):
+            own = seen.filter(F.col("batch") == batch)
+            if not fresh.join(own.select(*KEYS), list(KEYS), "left_anti").isEmpty():
+                raise BatchConflict(f"batch {batch} already holds other reviews")
+            return own.count()
+        self._drop_lines(batch)
+        lines = fresh.withColumns(
+            {"dt": F.lit(day.isoformat()), "batch": F.lit(batch), "sample": F.col("sample_source")}
+        ).drop("sample_source", "source_file")
+        natural = F.col("sample") == SOURCE_NATURAL
+        folders = ["app_id", "language", "dt", "batch"]
+        lines.filter(natural).drop("sample").write.mode("append").partitionBy(*folders).json(self.root)
+        lines.filter(~natural).write.mode("append").partitionBy("sample", *folders).json(self.root)
+        stored = self._stored_keys(batch)
+        count = stored.count() if stored is not None else 0
+        if count:
+            stored.write.mode("overwrite").partitionBy("sample_source", "app_id", "language").parquet(
+                keys_folder
             )
         return count
 
+    def _folders(self, batch: str) -> list:
+        """Folders that hold lines of a batch, found by name."""
+        fs, _ = _filesystem(self.spark, self.root)
+        path_class = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        found = []
+        for level in ("", "sample=*/"):
+            pattern = f"{self.root}/{level}app_id=*/language=*/dt=*/batch={batch}"
+            found += [status.getPath() for status in fs.globStatus(path_class(pattern)) or []]
+        return found
+
+    def _drop_lines(self, batch: str) -> None:
+        fs, _ = _filesystem(self.spark, self.root)
+        for folder in self._folders(batch):
+            fs.delete(folder, True)
+
+    def _stored_keys(self, batch: str) -> DataFrame | None:
+        """The keys of a batch as its stored lines have them."""
+        folders = [str(f.toString()) for f in self._folders(batch)]
+        if not folders:
+            return None
+        lines = self.spark.read.schema("recommendationid string").json(folders)
+        path = F.col("_metadata.file_path")
+        sample = F.nullif(F.regexp_extract(path, "/sample=([^/]+)/", 1), F.lit(""))
+        return lines.select(
+            F.coalesce(sample, F.lit(SOURCE_NATURAL)).alias("sample_source"),
+            F.regexp_extract(path, "/app_id=([0-9]+)/", 1).cast("long").alias("app_id"),
+            F.regexp_extract(path, "/language=([^/]+)/", 1).alias("language"),
+            "recommendationid",
+        )
+
 
 def retention_split(partitions: DataFrame, today, keep_days: int = RETENTION_DAYS) -> DataFrame:
     """Mark day partitions ``expired`` when strictly older than the retention period."""

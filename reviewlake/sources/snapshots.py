@@ -62,8 +62,8 @@ class SnapshotTable:
         stamp = max(int(time.time() * 1000), (last["ts"] or 0) + 1)
         return (last["id"] or 0) + 1, stamp
 
-    def overwrite(self, df: DataFrame, partition_by: list[str] | None = None) -> dict:
-        """Replace the content with a new snapshot.
+    def stage(self, df: DataFrame, partition_by: list[str] | None = None) -> dict:
+        """Write a new version without making it visible: the log row that ``commit`` will append.
 
         Column names must be those of the stored table; the types are cast to the stored ones.
         """
@@ -83,24 +83,31 @@ class SnapshotTable:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(location)
         rows = self.spark.read.schema(schema).parquet(location).count()
-        self._append_log(
-            {
-                "snapshot_id": snapshot_id,
-                "ts_ms": stamp,
-                "operation": "overwrite",
-                "n_rows": rows,
-                "location": location,
-                "schema_json": schema.json(),
-            }
-        )
+        return {
+            "snapshot_id": snapshot_id,
+            "ts_ms": stamp,
+            "operation": "overwrite",
+            "n_rows": rows,
+            "location": location,
+            "schema_json": schema.json(),
+        }
+
+    def commit(self, staged: dict) -> dict:
+        """Make a staged version the current one."""
+        self._append_log(staged)
         return {
             "table": self.name,
-            "rows": rows,
+            "rows": staged["n_rows"],
             "snapshots": self.history().count(),
-            "location": location,
+            "location": staged["location"],
         }
 
-    def _open(self, row) -> DataFrame:
+    def overwrite(self, df: DataFrame, partition_by: list[str] | None = None) -> dict:
+        """Replace the content with a new snapshot: staged, then committed by one log row."""
+        return self.commit(self.stage(df, partition_by))
+
+    def open(self, row) -> DataFrame:
+        """The data of a log row, staged or committed."""
         schema = T.StructType.fromJson(json.loads(row["schema_json"]))
         return self.spark.read.schema(schema).parquet(row["location"]).select(*schema.fieldNames())
 
@@ -109,14 +116,14 @@ class SnapshotTable:
         row = self._latest()
         if row is None:
             raise ValueError(f"{self.name} does not exist")
-        return self._open(row)
+        return self.open(row)
 
     def read_at(self, snapshot_id: int) -> DataFrame:
         """An older version; the current one is left alone."""
         row = self._latest(snapshot_id)
         if row is None:
             raise ValueError(f"unknown snapshot {snapshot_id} of {self.name}")
-        return self._open(row)
+        return self.open(row)
 
     def history(self) -> DataFrame:
         """Snapshots by time, the current one flagged."""
@@ -132,6 +139,41 @@ class SnapshotTable:
         return {"table": self.name, "snapshot_id": snapshot_id, "rows": self.read().count()}
 
 
+class SnapshotGroup:
+    """Several tables that change together: one log row names all their versions."""
+
+    def __init__(self, spark: SparkSession, lake: str, name: str):
+        self._table = SnapshotTable(spark, lake, name)
+        self.spark = spark
+
+    def overwrite(self, tables: dict[str, DataFrame]) -> dict[str, int]:
+        """Write every table, then commit all of them at once; the rows of each."""
+        snapshot_id, stamp = self._table._next()
+        location = f"{self._table.root}/data/snapshot_id={snapshot_id}-{uuid.uuid4().hex[:8]}"
+        for name, df in tables.items():
+            df.write.mode("errorifexists").parquet(f"{location}/{name}")
+        rows = {n: self.spark.read.parquet(f"{location}/{n}").count() for n in tables}
+        self._table._append_log(
+            {
+                "snapshot_id": snapshot_id,
+                "ts_ms": stamp,
+                "operation": "overwrite",
+                "n_rows": sum(rows.values()),
+                "location": location,
+                "schema_json": json.dumps({n: df.schema.json() for n, df in tables.items()}),
+            }
+        )
+        return rows
+
+    def read(self, name: str) -> DataFrame:
+        """One table of the current version."""
+        row = self._table._latest()
+        if row is None:
+            raise ValueError(f"{self._table.name} does not exist")
+        schema = T.StructType.fromJson(json.loads(json.loads(row["schema_json"])[name]))
+        return self.spark.read.schema(schema).parquet(f"{row['location']}/{name}")
+
+
 def snapshot_history(log: DataFrame) -> DataFrame:
     """``(snapshot_id, ts_ms, operation, n_rows, current)``; the current snapshot is the last log row."""
     last = log.agg(F.max_by("snapshot_id", F.struct("ts_ms", "snapshot_id")).alias("id"))

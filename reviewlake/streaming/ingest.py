@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,9 +18,10 @@ def stream_ingest(
 ) -> StreamingQuery:
     """Consume what the landing folder holds now and stop; run again to go on.
 
-    The batch number names the batch, so a micro-batch that is replayed after a loss overwrites its
-    own rows instead of adding them again. Seen keys live in the zone, not in stream state, so the
-    state does not grow with the history.
+    A batch is named by the id that the checkpoint gives the stream and its number there: a
+    micro-batch replayed after a loss is recognised, and another stream on the same zone cannot take
+    its name. Seen keys live in the zone, not in stream state, so the state does not grow with the
+    history. Rows set aside are stored with their reason.
     """
     landed = (
         spark.readStream.schema(RAW_SCHEMA)
@@ -31,7 +33,7 @@ def stream_ingest(
 
     def append(batch: DataFrame, number: int) -> None:
         zone = RawZone(batch.sparkSession, zone_root)
-        zone.append(split_raw(batch).good, f"stream-{number:012d}", day)
+        zone.append(split_raw(batch), f"stream-{_stream_id(spark, checkpoint)}-{number:012d}", day)
 
     return (
         placed.writeStream.foreachBatch(append)
@@ -39,3 +41,9 @@ def stream_ingest(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that the checkpoint keeps for its stream."""
+    metadata = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return json.loads(metadata)["id"]

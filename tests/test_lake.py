@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from reviewlake.schemas import ContractError
 from reviewlake.sources.raw import scan_raw
-from reviewlake.sources.raw_zone import RawZone, purge_raw
-from reviewlake.sources.snapshots import SnapshotTable
+from reviewlake.sources.raw_zone import BatchConflict, RawZone, purge_raw
+from reviewlake.sources.snapshots import SnapshotGroup, SnapshotTable
 from reviewlake.streaming.ingest import stream_ingest
 
 DAY = dt.date(2026, 9, 16)
@@ -90,7 +90,7 @@ def test_ingest_is_idempotent(spark, tmp_path, review):
     files = data_files(root)
     assert zone.append(first, "b2", DAY) == 0
     assert data_files(root) == files
-    assert zone.append(first, "b1", DAY) == 3  # the same batch again replaces itself
+    assert zone.append(first, "b1", DAY) == 3  # the same batch again changes nothing
     assert stored(spark, root) == [("natural", i) for i in "123"]
     more = incoming(spark, tmp_path, review, [3, 4], name="two")
     assert zone.append(more, "b3", DAY) == 1
@@ -103,7 +103,7 @@ def test_stored_lines_keep_the_review(spark, tmp_path, review):
     root = tmp_path / "raw"
     RawZone(spark, str(root)).append(incoming(spark, tmp_path, review, [1]), "b1", DAY)
     row = scan_raw(spark, str(root)).good.first()
-    assert row["review"] == "great game" and row["author"]["playtime_at_review"] == 120
+    assert row["review"] == "solid fun" and row["author"]["playtime_at_review"] == 45
     assert (row["app_id"], row["language"], row["voted_up"]) == (1, "english", True)
 
 
@@ -128,3 +128,89 @@ def test_stream_ingest_appends_each_review_once(spark, tmp_path, review, write_l
         assert query.awaitTermination(120)
         assert query.exception() is None
     assert stored(spark, zone) == [("natural", i) for i in "123"]
+
+
+def test_every_flow_is_stored(spark, tmp_path, review):
+    zone = RawZone(spark, str(tmp_path / "raw"))
+    mixed = incoming(spark, tmp_path, review, [1, 2], name="one").unionByName(
+        incoming(spark, tmp_path, review, [3, 4], source="curated", name="two")
+    )
+    assert zone.append(mixed, "b1", DAY) == 4
+    assert stored(spark, tmp_path / "raw") == [("curated", "3"), ("curated", "4"), ("natural", "1"), ("natural", "2")]
+    assert zone.append(mixed, "b2", DAY) == 0
+
+
+def test_a_batch_name_is_never_reused_for_other_reviews(spark, tmp_path, review):
+    zone = RawZone(spark, str(tmp_path / "raw"))
+    zone.append(incoming(spark, tmp_path, review, [1], name="one"), "b1", DAY)
+    with pytest.raises(BatchConflict):
+        zone.append(incoming(spark, tmp_path, review, [2], name="two"), "b1", DAY)
+    assert stored(spark, tmp_path / "raw") == [("natural", "1")]
+
+
+def test_a_loss_between_lines_and_keys_loses_nothing(spark, tmp_path, review, monkeypatch):
+    zone = RawZone(spark, str(tmp_path / "raw"))
+    batch = incoming(spark, tmp_path, review, [1, 2], name="one")
+
+    def lost(_):
+        raise OSError("gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(zone, "_stored_keys", lost)
+        with pytest.raises(OSError):
+            zone.append(batch, "b1", DAY)
+    assert zone.append(batch, "b1", DAY) == 2  # replaces the lines it left
+    assert stored(spark, tmp_path / "raw") == [("natural", "1"), ("natural", "2")]
+
+
+def test_a_loss_before_the_lines_loses_nothing(spark, tmp_path, review, monkeypatch):
+    zone = RawZone(spark, str(tmp_path / "raw"))
+    batch = incoming(spark, tmp_path, review, [1, 2], name="one")
+
+    def lost(_):
+        raise OSError("gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(zone, "_drop_lines", lost)
+        with pytest.raises(OSError):
+            zone.append(batch, "b1", DAY)
+    assert zone.append(batch, "another name", DAY) == 2
+    assert stored(spark, tmp_path / "raw") == [("natural", "1"), ("natural", "2")]
+
+
+def test_the_latest_copy_of_a_review_is_stored(spark, tmp_path, review, write_lines):
+    rows = [review(1, "early", updated=1_765_432_200), review(1, "late", updated=1_765_432_900)]
+    write_lines(tmp_path / "in", "app_id=1/language=english/dt=2026-09-16", rows)
+    RawZone(spark, str(tmp_path / "raw")).append(scan_raw(spark, str(tmp_path / "in")), "b1", DAY)
+    assert [r["review"] for r in scan_raw(spark, str(tmp_path / "raw")).good.collect()] == ["late"]
+
+
+def test_streams_share_a_zone_and_keep_what_they_set_aside(spark, tmp_path, review, write_lines):
+    zone, part = tmp_path / "zone", "app_id=1/language=english/dt=2026-09-16"
+    for name, rows in (("one", [review(10), review(11), "{broken"]), ("two", [review(20), "{}"])):
+        write_lines(tmp_path / name, part, rows)
+        query = stream_ingest(spark, str(tmp_path / name), str(zone), str(tmp_path / f"cp-{name}"), DAY)
+        assert query.awaitTermination(120) and query.exception() is None
+    assert stored(spark, zone) == [("natural", "10"), ("natural", "11"), ("natural", "20")]
+    reasons = sorted(r["reason"] for r in RawZone(spark, str(zone)).quarantine().collect())
+    assert reasons == ["invalid json", "missing id"]
+
+
+def test_a_failed_publish_leaves_the_version_before(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path), "scored.reviews")
+    table.overwrite(rows(spark))
+    broken = rows(spark).withColumn("value", F.raise_error(F.lit("midway")).cast("long"))
+    with pytest.raises(Exception, match="midway"):
+        table.overwrite(broken)
+    assert table.read().agg(F.sum("value")).first()[0] == 6
+
+
+def test_tables_of_a_group_change_together(spark, tmp_path):
+    group = SnapshotGroup(spark, str(tmp_path), "gold.star")
+    with pytest.raises(ValueError):
+        group.read("fact")
+    assert group.overwrite({"fact": rows(spark), "mart": rows(spark)}) == {"fact": 3, "mart": 3}
+    broken = rows(spark).withColumn("value", F.raise_error(F.lit("midway")).cast("long"))
+    with pytest.raises(Exception, match="midway"):
+        group.overwrite({"fact": rows(spark, 10), "mart": broken})
+    assert [group.read(n).agg(F.sum("value")).first()[0] for n in ("fact", "mart")] == [6, 6]

@@ -20,40 +20,33 @@ def cleaned(spark, root):
 
 
 def test_cleaning_and_dedup_cases(spark, tmp_path, review, write_lines):
-    base = 1_700_000_000
+    noon = 1_790_000_400
     write_lines(
         tmp_path,
         NATURAL,
         [
-            review(100, "[b]Super[/b]   jeu", created=base, updated=base + 10),
-            review(101, "[b] [/b]", created=base + 20),
-            review(102, "bad experience", voted_up=False, created=base + 30),
-            review(103, "duplicate natural old", created=base + 40, updated=base + 45),
-            review(103, "duplicate natural new", created=base + 40, updated=base + 50),
-            review(104, "Recommandé !", created=base + 60),
-            review(105, "Bon jeu", created=base + 70),
-            review(106, "　Super　", created=base + 80),
-            review(107, "a\u001cb"),
+            review(11, "[b]Worth[/b] \t every  [i]cent[/i]", created=noon, updated=noon + 5),
+            review(12, " [url=x][/url] "),
+            review(13, "crashes at start", voted_up=False, created=noon + 1),
+            review(14, "first thoughts", created=noon + 2, updated=noon + 100),
+            review(14, "second thoughts", created=noon + 2, updated=noon + 300),
+            review(15, "\u2003Schön\u00a0und\u3000kurz\u2029"),
+            review(16, "tab\u001dstop"),
         ],
     )
-    write_lines(
-        tmp_path, BOOST, [review(103, "duplicate boost", created=base + 40, updated=base + 60)], "b.jsonl"
-    )
+    later = [review(14, "thoughts from the other flow", created=noon + 2, updated=noon + 900)]
+    write_lines(tmp_path, BOOST, later, "other.jsonl")
     rows = cleaned(spark, tmp_path)
-    texts = {k: r["review_text"] for k, r in rows.items()}
-    assert texts == {
-        "100": "Super jeu",
-        "102": "bad experience",
-        "103": "duplicate natural new",
-        "104": "Recommandé !",
-        "105": "Bon jeu",
-        "106": "Super",
-        "107": "a b",
+    assert {k: r["review_text"] for k, r in rows.items()} == {
+        "11": "Worth every cent",
+        "13": "crashes at start",
+        "14": "second thoughts",
+        "15": "Schön und kurz",
+        "16": "tab stop",
     }
-    assert rows["102"]["label"] == 0 and rows["100"]["label"] == 1
-    assert rows["100"]["text_len"] == 9
-    assert rows["103"]["sample_source"] == "natural"
-    assert rows["100"]["created_at"].timestamp() == base
+    assert (rows["11"]["label"], rows["13"]["label"], rows["11"]["text_len"]) == (1, 0, 16)
+    assert rows["14"]["sample_source"] == "natural"
+    assert rows["11"]["created_at"].timestamp() == noon
 
 
 def test_traps(spark, tmp_path, review, write_lines):
@@ -75,6 +68,9 @@ def test_traps(spark, tmp_path, review, write_lines):
             "{broken json",
             "",
             "   ",
+            "{}",
+            '{"votes_up": 3}',
+            {"recommendationid": "9", "review": "no time", "voted_up": True},
         ],
     )
     write_lines(tmp_path, "app_id=1/dt=2026-09-16", [review(8)], "no_language.jsonl")
@@ -87,7 +83,9 @@ def test_traps(spark, tmp_path, review, write_lines):
     assert rows["4"]["author_pseudo"] == hmac.new(b"salt", b"", hashlib.sha256).hexdigest()
     assert rows["6"]["review_text"] == "tie one"
     reasons = sorted(r["reason"] for r in scan.quarantine.collect())
-    assert reasons == ["invalid json", "missing vote", "outside the partition layout"]
+    assert reasons == [
+        "invalid json", "missing creation time", "missing id", "missing id", "missing vote", "outside the partition layout",
+    ]
 
 
 def test_partition_language_wins_and_columns_are_the_contract(spark, tmp_path, review, write_lines):
