@@ -55,7 +55,7 @@ def numeric_psi(halves: DataFrame, column: str, bins: int = BINS) -> DataFrame:
     stored, and the quantiles and the classes only read those.
     """
     histogram = pin(
-        halves.filter(F.col(column).isNotNull())
+        halves.filter(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double")))
         .groupBy("half", F.col(column).alias("value"))
         .agg(F.count("*").alias("n"))
     )

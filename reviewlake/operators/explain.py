@@ -17,24 +17,48 @@ def local_contributions(
     them (``n=None``) plus the intercept add up to the decision margin. A review without a known
     term keeps one row of nulls.
     """
+    weighted = _weighted_terms(reviews, model, text)
+    strongest_first = Window.partitionBy("review_id").orderBy(F.round(F.abs("push"), 9).desc(), F.col("term"))
+    ranked = weighted.withColumn("rank", F.row_number().over(strongest_first))
+    if n is not None:
+        ranked = ranked.filter(F.col("rank") <= n)
+    shown = ranked.join(_lengths(weighted), "review_id").select(
+        "review_id", "rank", "term", (F.col("push") / F.col("length")).alias("contribution")
+    )
+    return reviews.select("review_id").join(shown, "review_id", "left")
+
+
+def contribution_sums(reviews: DataFrame, model: LinearModel, text: str = "review_text") -> DataFrame:
+    """``(review_id, n_terms, margin)``: all contributions of a review added up, one aggregation."""
+    sums = _weighted_terms(reviews, model, text).groupBy("review_id").agg(
+        F.count("*").alias("n_terms"),
+        (F.sum("push") / F.sqrt(F.sum(F.col("raw") * F.col("raw")))).alias("margin"),
+    )
+    return (
+        reviews.select("review_id")
+        .join(sums, "review_id", "left")
+        .select(
+            "review_id",
+            F.coalesce("n_terms", F.lit(0)).alias("n_terms"),
+            F.coalesce("margin", F.lit(0.0)).alias("margin"),
+        )
+    )
+
+
+def _weighted_terms(reviews: DataFrame, model: LinearModel, text: str) -> DataFrame:
+    """``(review_id, term, raw, push)``: the weight before normalisation, and that times the coefficient."""
     docs = with_terms(reviews.select("review_id", text), model.vectorizer, text)
     known = small_side(
         model.terms.select("term", "idf", "coef_neg"), model.vectorizer.max_features
     )
-    weighted = (
-        document_terms(docs, "review_id")
-        .join(known, "term")
-        .withColumn("raw", sublinear(F.col("tf")) * F.col("idf"))
-    )
-    per_review = Window.partitionBy("review_id")
-    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(per_review))
-    contribution = weighted.withColumn("contribution", F.col("raw") / length * F.col("coef_neg"))
-    strongest_first = per_review.orderBy(F.abs("contribution").desc(), F.col("term"))
-    ranked = contribution.withColumn("rank", F.row_number().over(strongest_first))
-    if n is not None:
-        ranked = ranked.filter(F.col("rank") <= n)
-    shown = ranked.select("review_id", "rank", "term", "contribution")
-    return reviews.select("review_id").join(shown, "review_id", "left")
+    raw = sublinear(F.col("tf")) * F.col("idf")
+    weighted = document_terms(docs, "review_id").join(known, "term").withColumn("raw", raw)
+    return weighted.select("review_id", "term", "raw", (F.col("raw") * F.col("coef_neg")).alias("push"))
+
+
+def _lengths(weighted: DataFrame) -> DataFrame:
+    """The norm of each review, summed map-side."""
+    return weighted.groupBy("review_id").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length"))
 
 
 def global_terms(model: LinearModel, n: int = 20) -> DataFrame:

@@ -122,8 +122,12 @@ def tfidf(
         .join(small_side(terms.select("term", "idf"), size_limit), "term")
         .withColumn("raw", sublinear(F.col("tf")) * F.col("idf"))
     )
-    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(keep[0])))
-    return raw.select(*keep, "term", (F.col("raw") / length).alias("tfidf"))
+    per_document = raw.groupBy(*keep).agg(
+        F.collect_list(F.struct("term", "raw")).alias("weights"),
+        F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length"),
+    )
+    flat = per_document.select(*keep, "length", F.inline("weights"))
+    return flat.select(*keep, "term", (F.col("raw") / F.col("length")).alias("tfidf"))
 
 
 def number_terms(terms: DataFrame) -> DataFrame:

@@ -61,34 +61,32 @@ def classification_metrics(scored: DataFrame, by: Sequence[str] = ()) -> DataFra
 def roc_auc(scored: DataFrame, score: str = "proba_negative", label: str = "label") -> DataFrame:
     """Area under the ROC curve with the negative class as the event; ties count one half.
 
-    For each score: how many positives lie below it. The count is the sum of three prefix sums
-    (coarse cell, fine cell, score), so no window ever covers more than one fine cell.
+    For each score: how many positives lie below it. The count is a sum of prefix sums, one per level
+    of nested cells, so no window covers more than the cells below one cell.
     """
     negative = F.col(label) == LABEL_NEGATIVE
     counted = scored.groupBy(F.col(score).alias("score")).agg(
         F.count_if(negative).alias("neg"), F.count_if(~negative).alias("pos")
     )
-    coarse, fine = number_cells(F.col("score"), 0.0, 1.0)
-    placed = counted.withColumns({"coarse": coarse, "fine": fine})
-
-    def pairs(level: DataFrame, parents: list[str], order: str, ties: bool) -> DataFrame:
+    names = ["cell_0", "cell_1", "cell_2", "cell_3"]
+    placed = counted.withColumns(dict(zip(names, number_cells(F.col("score")))))
+    levels = [placed.groupBy(*names).agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))]
+    for depth in range(len(names) - 1, 0, -1):
+        finer = levels[0].groupBy(*names[:depth])
+        levels.insert(0, finer.agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")))
+    by_coarse, won = levels[0], None
+    for depth, level in enumerate(levels):
         below = (
-            Window.partitionBy(*parents).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+            Window.partitionBy(*names[:depth])
+            .orderBy(names[depth])
+            .rowsBetween(Window.unboundedPreceding, -1)
         )
-        before = F.coalesce(F.sum("pos").over(below), F.lit(0))
-        won = F.col("neg").cast("double") * before
-        if ties:
-            won = won + F.col("neg").cast("double") * F.col("pos") / 2
-        return level.select(won.alias("won"))
-
-    by_fine = placed.groupBy("coarse", "fine").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
-    by_coarse = by_fine.groupBy("coarse").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
-    won = (
-        pairs(by_coarse, [], "coarse", False)
-        .unionByName(pairs(by_fine, ["coarse"], "fine", False))
-        .unionByName(pairs(placed, ["coarse", "fine"], "score", True))
-        .agg(F.sum("won").alias("won"))
-    )
+        gained = F.col("neg").cast("double") * F.coalesce(F.sum("pos").over(below), F.lit(0))
+        if depth == len(levels) - 1:  # one score per cell: ties
+            gained = gained + F.col("neg").cast("double") * F.col("pos") / 2
+        part = level.select(gained.alias("won"))
+        won = part if won is None else won.unionByName(part)
+    won = won.agg(F.sum("won").alias("won"))
     totals = by_coarse.agg(F.sum("neg").alias("n_neg"), F.sum("pos").alias("n_pos"))
     possible = F.col("n_neg").cast("double") * F.col("n_pos")
     return totals.select(
@@ -176,20 +174,24 @@ def endpoint_latency(log: DataFrame, keep: int = LATENCY_WINDOW) -> DataFrame:
 def load_summary(log: DataFrame, ok: Column, seconds: Column) -> DataFrame:
     """One row for a load campaign; percentiles are nearest-rank values that really occurred.
 
-    ``seconds`` is an aggregate expression giving the length of the campaign.
+    ``seconds`` is an aggregate expression giving the length of the campaign. A request without a
+    duration, or with NaN, counts as a request but takes no part in mean, maximum and percentiles.
     """
-    histogram = pin(log.groupBy("duration_ms").agg(F.count("*").alias("n")))
+    measured = F.when(~F.isnan(F.col("duration_ms").cast("double")), F.col("duration_ms"))
+    histogram = pin(
+        log.select(measured.alias("duration_ms"))
+        .filter(F.col("duration_ms").isNotNull())
+        .groupBy("duration_ms")
+        .agg(F.count("*").alias("n"))
+    )
     totals = log.agg(
         F.count("*").alias("requests"),
         F.count_if(ok).alias("succeeded"),
-        F.coalesce(F.avg("duration_ms"), F.lit(0.0)).alias("mean"),
-        F.coalesce(F.max("duration_ms"), F.lit(0.0)).alias("max"),
+        F.coalesce(F.avg(measured), F.lit(0.0)).alias("mean"),
+        F.coalesce(F.max(measured), F.lit(0.0)).alias("max"),
         seconds.cast("double").alias("seconds"),
     )
-    bounds = histogram.agg(
-        F.min("duration_ms").alias("lo"), F.max("duration_ms").alias("hi")
-    ).first()
-    cells = number_cells(F.col("duration_ms"), bounds["lo"], bounds["hi"])
+    cells = number_cells(F.col("duration_ms"))
     # ceil(p / 100 * n) in whole numbers, so that no rounding error moves a rank
     ranks = {
         f"p{p}": (lambda n, p=p: F.greatest(F.floor((n * p + 99) / 100), F.lit(1)))
@@ -218,15 +220,27 @@ def load_summary(log: DataFrame, ok: Column, seconds: Column) -> DataFrame:
     )
 
 
-def dataset_fingerprint(clean: DataFrame) -> DataFrame:
-    """What a training run was fed with; the content hash does not depend on row order."""
+def dataset_fingerprint(clean: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """What a training run was fed with.
+
+    The content hash does not depend on row order and counts repeated rows: the sum of 60-bit digests
+    over the columns named (all by default), times as microseconds.
+    """
+    kinds = dict(clean.dtypes)
+
+    def told(c: str) -> Column:
+        value = F.unix_micros(c) if kinds[c] == "timestamp" else F.col(c)
+        return F.coalesce(value.cast("string"), F.lit("\u0000"))
+
+    row = F.concat_ws("|", *(told(c) for c in columns or clean.columns))
+    digest = F.conv(F.substring(F.sha2(row, 256), 1, 15), 16, 10).cast("decimal(38,0)")
     return clean.agg(
         F.count("*").alias("data_rows"),
         F.min("created_at").alias("data_first_review"),
         F.max("created_at").alias("data_last_review"),
         F.count_if(F.col("sample_source") == SOURCE_NATURAL).alias("data_natural_rows"),
         F.count_if(F.col("sample_source") == SOURCE_BOOST).alias("data_boost_rows"),
-        F.bit_xor(F.xxhash64(*clean.columns)).alias("data_hash"),
+        F.coalesce(F.sum(digest), F.lit(0)).cast("string").alias("data_hash"),
     )
 
 

@@ -205,7 +205,8 @@ def run_suite(
     results = df.agg(*measures).select(F.inline(F.array(*outcomes))) if outcomes else None
     for check in distinct:
         repeated = (
-            df.groupBy(check.column)
+            (df if nulls_fail else df.filter(F.col(check.column).isNotNull()))
+            .groupBy(check.column)
             .agg(F.count("*").alias("copies"))
             .filter(F.col("copies") > 1)
             .agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("m"))

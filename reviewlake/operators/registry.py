@@ -82,7 +82,7 @@ class Registry:
         "precision_negative double, roc_auc double, f1_macro_train double, train_test_gap double, "
         "n_train long, n_test long, negative_share double, threshold double, data_rows long, "
         "data_first_review timestamp, data_last_review timestamp, data_natural_rows long, "
-        "data_boost_rows long, data_hash long"
+        "data_boost_rows long, data_hash string"
     )
     VERSIONS = "version long, run_id string, created_ms long, location string"
 

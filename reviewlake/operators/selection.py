@@ -11,8 +11,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-FINE_CELLS = 4096
-
 
 def keys_at_ranks(
     df: DataFrame,
@@ -100,27 +98,44 @@ def shuffle_key(identifier: Column, seed: int) -> Column:
     return F.sha2(F.concat(identifier.cast("string"), F.lit(f"#{seed}")), 256)
 
 
-def number_cells(value: Column, low: float | None, high: float | None) -> list[Column]:
-    """Two nested levels of equal-width cells over a numeric range; one cell for a single value."""
-    if low is None or high is None or not high > low:
-        return [F.lit(0), F.lit(0)]
-    place = (value.cast("double") - F.lit(float(low))) / F.lit(float(high) - float(low)) * FINE_CELLS
-    coarse = F.floor(place)
-    return [coarse, F.floor((place - coarse) * FINE_CELLS)]
+def number_cells(value: Column) -> list[Column]:
+    """Four nested levels that follow the order of doubles, whatever their distribution.
+
+    The first level is the sign, the power of two and the top four bits of the mantissa; each further
+    level holds 16 bits of it. A cell of the last level is one value, and no cell has more than 65 536
+    below it. NaN comes last.
+    """
+    x = value.cast("double")
+    size = F.abs(x)
+    guess = F.floor(F.log2(size))
+    off = size / F.pow(F.lit(2.0), guess)
+    power = guess + F.when(off < 1, -1).when(off >= 2, 1).otherwise(0)
+    mantissa = (size / F.pow(F.lit(2.0), power) - 1) * 16
+    parts = [(power + 1100) * 16 + F.floor(mantissa)]
+    for _ in range(3):
+        mantissa = (mantissa - F.floor(mantissa)) * 65536
+        parts.append(F.floor(mantissa))
+    sign = F.when(x < 0, -1).otherwise(1)
+    odd = F.when(F.isnan(x) | (size == float("inf")), F.lit(1 << 20)).when(size == 0, F.lit(0))
+    top = F.when(F.isnan(x), F.lit(1 << 21)).otherwise(sign * F.coalesce(odd, parts[0]))
+    rest = [F.when(odd.isNotNull(), F.lit(0)).otherwise(sign * part) for part in parts[1:]]
+    return [c.cast("long") for c in (top, *rest)]
 
 
 def exact_quantiles(
     histogram: DataFrame, value: str, weight: str, probabilities: Sequence[float]
 ) -> DataFrame:
-    """Linear-interpolation quantiles of a stored ``(value, weight)`` histogram: ``(position, quantile)``."""
+    """Linear-interpolation quantiles of a stored ``(value, weight)`` histogram: ``(position, quantile)``.
+
+    Nulls and NaN take no part.
+    """
     spec = [(i, float(p)) for i, p in enumerate(probabilities)]
     targets: dict[str, Callable[[Column], Column]] = {}
     for i, p in spec:
         targets[f"{i}:lo"] = lambda n, p=p: F.floor((n - 1) * F.lit(p)) + 1
         targets[f"{i}:hi"] = lambda n, p=p: F.ceil((n - 1) * F.lit(p)) + 1
-    present = histogram.filter(F.col(value).isNotNull())
-    bounds = present.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
-    cells = number_cells(F.col(value), bounds["lo"], bounds["hi"])
+    present = histogram.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    cells = number_cells(F.col(value))
     found = keys_at_ranks(present, cells, [value], targets, weight=weight)
     pieces = found.select(
         F.split("target", ":")[0].cast("int").alias("position"),

@@ -10,6 +10,7 @@ from reviewlake.functions.text import preview, shorten
 from reviewlake.operators.explain import global_terms, local_contributions
 from reviewlake.operators.features import with_terms
 from reviewlake.operators.metrics import LATENCY_WINDOW, endpoint_latency
+from reviewlake.operators.registry import champion
 from reviewlake.operators.scoring import LinearModel, negative_probability, with_decision
 from reviewlake.schemas import DEFAULT_THRESHOLD, SOURCE_NATURAL, require_columns
 
@@ -105,10 +106,17 @@ def service_metrics(log: DataFrame, keep: int = LATENCY_WINDOW) -> DataFrame:
     return endpoint_latency(log, keep)
 
 
-def service_state(model: LinearModel) -> DataFrame:
-    """Version and threshold in service."""
-    return model.header.select(
-        "version", F.coalesce("threshold", F.lit(DEFAULT_THRESHOLD)).alias("threshold")
+def service_state(versions: DataFrame, models: DataFrame, alias_log: DataFrame) -> DataFrame:
+    """Version and threshold in service: champion alias, its version, the model that version names.
+
+    ``versions`` hold (version, run_id), ``models`` (run_id, threshold); a model without a threshold
+    decides at the default. Without a champion there is no row.
+    """
+    return (
+        champion(alias_log)
+        .join(versions.select("version", "run_id"), "version")
+        .join(models.select("run_id", "threshold"), "run_id")
+        .select("version", F.coalesce("threshold", F.lit(DEFAULT_THRESHOLD)).alias("threshold"))
     )
 
 

@@ -19,7 +19,6 @@ MIN_F1_MACRO = 0.75
 SEED = 42
 PERSONAL_COLUMNS = ("steamid", "personaname", "profile_url", "avatar")
 NEGATIVE_SHARE_BOUNDS = (0.005, 0.95)
-MODEL_NAME = "review-sentiment"
 CHAMPION = "champion"
 
 RAW_SCHEMA = T.StructType(

@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Padded keys appear as 128 hex digits; plans, event logs and explain show them masked.
+KEY_MATERIAL = "[0-9A-Fa-f]{128}"
+
+
 def build_session(app_name: str = "reviewlake", master: str | None = None, **conf: str) -> SparkSession:
     """A session in UTC with adaptive execution; cluster sizing stays with the submitter."""
     builder = (
@@ -16,6 +20,7 @@ def build_session(app_name: str = "reviewlake", master: str | None = None, **con
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.redaction.string.regex", KEY_MATERIAL)
     )
     if master:
         builder = builder.master(master)
@@ -40,6 +45,8 @@ def shared_folder(spark: SparkSession) -> str:
         return named
     current = context._jsc.sc().getCheckpointDir()
     if not current.isDefined():
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="reviewlake-"))
         current = context._jsc.sc().getCheckpointDir()
     return current.get()

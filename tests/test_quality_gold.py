@@ -20,16 +20,16 @@ def utc(day, hour, minute=0):
 
 def golden(spark):
     spec = [
-        ("r1", 1086940, "english", 1, 1, 0.1, utc(1, 10), "natural"),
-        ("r2", 1086940, "english", 0, 0, 0.9, utc(1, 23, 30), "natural"),
-        ("r3", 1086940, "english", 0, 0, 0.8, utc(1, 12), "negative_boost"),
-        ("r4", 2622380, "french", 0, 1, 0.2, utc(2, 8), "natural"),
-        ("r5", 2622380, "french", 1, 1, 0.3, utc(2, 9), "negative_boost"),
+        ("oak-1", 1903340, "english", 0, 0, 0.91, utc(5, 0, 5), "natural", "9"),
+        ("oak-2", 1903340, "english", 1, 0, 0.77, utc(5, 13), "natural", "10"),
+        ("oak-3", 1903340, "english", 1, 1, 0.12, utc(5, 20), "natural", "9"),
+        ("elm-1", 1903340, "english", 0, 0, 0.95, utc(5, 21), "negative_boost", "10"),
+        ("elm-2", 1086940, "french", 1, 1, 0.05, utc(7, 9), "natural", "9"),
     ]
     df = spark.createDataFrame(
         spec,
         "review_id string, app_id long, language string, label long, pred_label long, "
-        "proba_negative double, created_at timestamp, sample_source string",
+        "proba_negative double, created_at timestamp, sample_source string, model_version string",
     ).withColumns(
         {
             "review_text": F.lit("text"),
@@ -40,7 +40,6 @@ def golden(spark):
             "author_pseudo": F.sha2("review_id", 256),
             "text_len": F.lit(4),
             "decision_threshold": F.lit(0.75),
-            "model_version": F.lit("3"),
             "scored_at": F.current_timestamp(),
         }
     )
@@ -72,8 +71,8 @@ def test_golden_mart(spark):
         for r in rows
     ]
     assert got == [
-        (1086940, dt.date(2026, 9, 1), 2, 1, 1, 0.5, "Baldur's Gate 3", "3"),
-        (2622380, dt.date(2026, 9, 2), 1, 0, 1, 0.0, "ELDEN RING NIGHTREIGN", "3"),
+        (1086940, dt.date(2026, 9, 7), 1, 0, 0, 0.0, "Baldur's Gate 3", "9"),
+        (1903340, dt.date(2026, 9, 5), 3, 2, 1, 2 / 3, "Clair Obscur: Expedition 33", "10"),
     ]
     assert tables["fct_review_predictions"].count() == 5
     for name in ("stg_reviews", "fct_review_predictions", "mart_sentiment_daily"):
@@ -81,24 +80,15 @@ def test_golden_mart(spark):
     gold_tests(tables, ("english", "french"))
 
 
-def test_versions_are_compared_as_numbers(spark):
-    silver, predictions = golden(spark)
-    mixed = predictions.withColumn(
-        "model_version", F.when(F.col("review_id") == "r1", "10").otherwise("9")
-    )
-    mart = star(spark, silver, mixed)["mart_sentiment_daily"]
-    assert mart.filter("app_id = 1086940").first()["model_version"] == "10"
-
-
 def test_stale_scores_fail_the_build(spark):
     silver, predictions = golden(spark)
     with pytest.raises(GoldTestError, match="without prediction"):
-        gold_tests(star(spark, silver, predictions.filter("review_id <> 'r5'")), ("english", "french"))
+        gold_tests(star(spark, silver, predictions.filter("review_id <> 'elm-1'")), ("english", "french"))
 
 
 def test_unknown_app_fails_the_build_though_the_mart_drops_it(spark):
     silver, predictions = golden(spark)
-    moved = silver.withColumn("app_id", F.when(F.col("review_id") == "r4", F.lit(5).cast("long")).otherwise(F.col("app_id")))
+    moved = silver.withColumn("app_id", F.when(F.col("review_id") == "elm-2", F.lit(5).cast("long")).otherwise(F.col("app_id")))
     tables = star(spark, moved, predictions)
     assert tables["mart_sentiment_daily"].count() == 1
     with pytest.raises(GoldTestError, match="orphans"):
@@ -137,13 +127,13 @@ def failures(df, suite):
         ("playtime_at_review_min", "-1L", ("between", "playtime_at_review_min", 1)),
         ("author_pseudo", "'0123456789'", ("matches", "author_pseudo", 1)),
         ("review_text", "cast(null as string)", ("not_null", "review_text", 1)),
-        ("review_id", "'r2'", ("unique", "review_id", 2)),
+        ("review_id", "'oak-2'", ("unique", "review_id", 2)),
     ],
 )
 def test_each_bad_value_fails_its_own_check(spark, column, value, expected):
     silver, _ = golden(spark)
     broken = silver.withColumn(
-        column, F.expr(f"CASE WHEN review_id = 'r1' THEN {value} ELSE {column} END")
+        column, F.expr(f"CASE WHEN review_id = 'oak-1' THEN {value} ELSE {column} END")
     )
     assert failures(broken, quality.clean_zone_suite()) == [expected]
 

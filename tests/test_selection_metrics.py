@@ -9,6 +9,7 @@ from reviewlake.operators import metrics
 from reviewlake.operators.selection import (
     chronological_halves,
     exact_quantiles,
+    number_cells,
     stratified_folds,
     stratified_split,
 )
@@ -177,3 +178,25 @@ def test_unmeasured_candidates_rank_last(spark):
     ranked = metrics.rank_candidates(metrics.fold_statistics(folds)).collect()
     assert [r["candidate"] for r in ranked] == ["c", "a", "b"]
     assert ranked[1]["f1_std"] == pytest.approx(0.1)
+
+
+def test_cells_follow_the_order_of_doubles(spark):
+    values = [-1e308, -8.0, -7.999999, -1.0, -1e-300, 0.0, 5e-324, 1e-9, 0.5, 0.9999999999999999, 1.0, 1.0000000000000002, 8.0, 1e12, 1e308]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    cells = [tuple(r) for r in df.orderBy("v").select(*number_cells(F.col("v"))).collect()]
+    assert cells == sorted(cells) and len(set(cells)) == len(values)
+
+
+def test_load_summary_ignores_missing_durations_and_outliers(spark):
+    rows = [(None,), (None,), (None,), (10.0,), (20.0,), (float("nan"),), (1e12,)]
+    log = spark.createDataFrame(rows, "duration_ms double")
+    row = metrics.load_summary(log, F.lit(True), F.lit(1.0)).first()
+    assert (row["requests"], row["p50"], row["p99"], row["max"]) == (7, 20.0, 1e12, 1e12)
+
+
+def test_auc_with_saturated_scores(spark):
+    rows = [(0, 1.0)] * 30 + [(1, 1.0)] * 10 + [(1, 0.0)] * 50 + [(0, 0.0)] * 10
+    df = spark.createDataFrame(rows, "label long, proba_negative double")
+    pairs = [(a, b) for la, a in rows if la == 0 for lb, b in rows if lb == 1]
+    wanted = sum((a > b) + (a == b) / 2 for a, b in pairs) / len(pairs)
+    assert abs(metrics.roc_auc(df).first()["roc_auc"] - wanted) < 1e-12

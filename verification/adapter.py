@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from functools import cached_property
 from pathlib import Path
 
@@ -11,11 +12,11 @@ from reviewlake.operators import gold
 from reviewlake.operators.features import Vectorizer, smoothed_idf, term_statistics, with_terms
 from reviewlake.operators.scoring import LinearModel, daily_summary, predictions
 from reviewlake.operators.silver import clean_reviews
-from reviewlake.schemas import LABEL_NEGATIVE, LABEL_POSITIVE, SOURCE_BOOST, SOURCE_NATURAL
+from reviewlake.schemas import DIM_GAME_SCHEMA, LABEL_NEGATIVE, LABEL_POSITIVE, SOURCE_BOOST, SOURCE_NATURAL
 from reviewlake.session import in_utc, pin
-from reviewlake.sources.games import read_games
 
 SALT = "verification-salt"
+CHAMPION_VERSION, EARLIER_VERSION = "10", "9"
 LANGUAGES = ("english", "french", "german", "spanish")
 GAMES_SEED = str(Path(__file__).resolve().parent.parent / "seeds" / "games.csv")
 SINGLE_WORDS = Vectorizer(analyzer="word", ngram_range=(1, 1), min_df=2, max_features=100_000)
@@ -27,7 +28,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def games(spark: SparkSession) -> DataFrame:
-    return gold.dim_game(read_games(spark, f"file://{GAMES_SEED}"))
+    with open(GAMES_SEED, encoding="utf-8", newline="") as seed:
+        rows = [(int(row["app_id"]), row["game_name"]) for row in csv.DictReader(seed)]
+    return gold.dim_game(spark.createDataFrame(rows, DIM_GAME_SCHEMA))
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,13 +128,18 @@ def count_model(clean: DataFrame, vectorizer: Vectorizer = SINGLE_WORDS) -> Line
         (F.log(share_negative) - F.log(share_positive)).alias("coef_neg"),
     )
     header = sizes.select(
-        F.lit("3").alias("version"),
+        F.lit(CHAMPION_VERSION).alias("version"),
         F.lit(0.0).alias("intercept_neg"),
         F.lit(0.6).alias("threshold"),
     )
     return LinearModel(terms, header, vectorizer)
 
 
+def _version_of(identifier: str) -> F.Column:
+    """Odd reviews still carry the scores of the version before the champion."""
+    return F.when(F.col(identifier).cast("long") % 2 == 1, EARLIER_VERSION).otherwise(CHAMPION_VERSION)
+
+
 class Star:
     """Everything downstream of silver. Silver is a stored table; scores too, where read repeatedly."""
 
@@ -145,7 +153,7 @@ class Star:
 
     @cached_property
     def predictions(self) -> DataFrame:
-        scored = predictions(self.silver, self.model)
+        scored = predictions(self.silver, self.model).withColumn("model_version", _version_of("review_id"))
         return pin(scored) if self._store_scores else scored
 
     @cached_property

@@ -131,7 +131,8 @@ dots AS (
 pred AS (
   SELECT review_id, app_id, language, sample_source, created_at, label, proba_negative,
     CAST(CASE WHEN proba_negative >= 0.6 THEN 0 ELSE 1 END AS BIGINT) AS pred_label,
-    CAST(0.6 AS DOUBLE) AS decision_threshold, '3' AS model_version
+    CAST(0.6 AS DOUBLE) AS decision_threshold,
+    CASE WHEN CAST(review_id AS BIGINT) % 2 = 1 THEN '9' ELSE '10' END AS model_version
   FROM (SELECT s.*, 1 / (1 + exp(-coalesce(margin, 0))) AS proba_negative FROM silver s LEFT JOIN dots USING (review_id))
 )"""
 )
@@ -161,7 +162,8 @@ mart AS (
 summary AS (
   SELECT app_id, language, CAST(created_at AS DATE) AS date, count(*) AS n_reviews,
     count(*) FILTER (pred_label = 0) / count(*) AS share_negative_pred,
-    count(*) FILTER (label = 0) / count(*) AS share_negative_true, min(model_version) AS model_version
+    count(*) FILTER (label = 0) / count(*) AS share_negative_true,
+    arg_min(model_version, (created_at, model_version)) AS model_version
   FROM pred WHERE sample_source = 'natural' GROUP BY ALL
 )"""
 )
@@ -295,7 +297,7 @@ def _unique(c: str):
     return (
         "unique",
         c,
-        f"SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM @ GROUP BY {c} HAVING count(*) > 1)",
+        f"SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM @ WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)",
     )
 
 
@@ -415,13 +417,13 @@ SELECT * FROM (SELECT 'positive' AS direction, term, -coef_neg AS weight FROM st
 def _local(model: str, n: int) -> str:
     return f"""{_weights(model)},
 contributions AS (
-  SELECT review_id, term, raw_w / sqrt(sum(raw_w * raw_w) OVER (PARTITION BY review_id)) * coef_neg AS contribution FROM weighted
+  SELECT review_id, term, raw_w * coef_neg AS push, raw_w / sqrt(sum(raw_w * raw_w) OVER (PARTITION BY review_id)) * coef_neg AS contribution FROM weighted
 ),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY abs(contribution) DESC, term) AS rk FROM contributions
+  SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY round(abs(push), 9) DESC, term) AS rk FROM contributions
 ),
 top_terms AS (
-  SELECT s.review_id, rk, contribution FROM silver s LEFT JOIN (SELECT * FROM ranked WHERE rk <= {n}) r USING (review_id)
+  SELECT s.review_id, CAST(rk AS INTEGER) AS rank, term, contribution FROM silver s LEFT JOIN (SELECT * FROM ranked WHERE rk <= {n}) r USING (review_id)
 )"""
 
 
@@ -468,7 +470,7 @@ def all_oracles() -> dict[str, str]:
         "range_anomalies": f"""WITH {_GOLD} SELECT round(share_pred_negative * 10, 6) AS anomaly FROM mart WHERE share_pred_negative * 10 > 1
           UNION ALL SELECT round(-share_actual_negative, 6) FROM mart WHERE share_actual_negative > 0""",
         "predict_batch": f"""WITH {_PRED} SELECT p.review_id, left(s.review_text, 80) AS preview, round(proba_negative, 6) AS proba_negative,
-          CASE pred_label WHEN 0 THEN 'negative' ELSE 'positive' END AS label, model_version, decision_threshold
+          CASE pred_label WHEN 0 THEN 'negative' ELSE 'positive' END AS label, '10' AS model_version, decision_threshold
           FROM pred p JOIN silver s USING (review_id)""",
         "valid_requests": "SELECT doc_id, length(text) BETWEEN 1 AND 5000 AS valid FROM documents",
         "daily_summary": f"WITH {_GOLD} SELECT date, {_SUMMARY_COLUMNS} FROM summary",
@@ -493,7 +495,10 @@ def all_oracles() -> dict[str, str]:
           ORDER BY round(proba_negative, 9) DESC, review_id LIMIT 20""",
         "scored_counts": f"""WITH {_PRED} SELECT p.label, p.pred_label, count(*) AS n_reviews,
           CAST(sum(length(s.review_text)) AS BIGINT) AS n_chars FROM silver s JOIN pred p USING (review_id) GROUP BY ALL""",
-        "service_state": "SELECT '3' AS version, CAST(0.6 AS DOUBLE) AS threshold FROM (SELECT count(*) FROM documents)",
+        "service_state": f"""WITH {_RUNS},
+          best AS (SELECT min(run_id) AS run_id, CAST(day - DATE '2020-01-01' AS BIGINT) AS version FROM runs GROUP BY day)
+          SELECT version, round(coalesce(CASE WHEN f1_macro >= 0.5 THEN f1_macro END, 0.5), 6) AS threshold
+          FROM (SELECT version FROM aliases WHERE alias = 'champion') JOIN best USING (version) JOIN runs USING (run_id)""",
         "label_names": f"""WITH {_SILVER} SELECT CASE label WHEN 0 THEN 'negative' ELSE 'positive' END AS label_name,
           count(*) AS n_reviews FROM silver GROUP BY ALL""",
         "chrono_halves": f"WITH {_HALVES} SELECT review_id, half FROM halves",
@@ -546,7 +551,9 @@ def all_oracles() -> dict[str, str]:
           SELECT n_neg, n_pos, round((total - n_neg * (n_neg + 1) / 2) / (n_neg * n_pos), 6) AS roc_auc FROM t""",
         "dataset_fingerprint": f"""WITH {_SILVER} SELECT count(*) AS data_rows, min(created_at) AS data_first_review,
           max(created_at) AS data_last_review, count(*) FILTER (sample_source = 'natural') AS data_natural_rows,
-          count(*) FILTER (sample_source = 'negative_boost') AS data_boost_rows FROM silver""",
+          count(*) FILTER (sample_source = 'negative_boost') AS data_boost_rows,
+          CAST(sum(CAST(('0x' || substr(sha256(review_id || '|' || label || '|' || epoch_us(created_at) || '|' || review_text), 1, 15)) AS BIGINT)) AS VARCHAR)
+            AS data_hash FROM silver""",
         "promotion_history": f"""WITH {_RUNS} SELECT run_id, app_id, day, round(f1_macro, 6) AS f1_macro,
           round(train_test_gap, 6) AS train_test_gap, round(champion_f1, 6) AS champion_f1, promoted FROM history""",
         "alias_current": f"WITH {_RUNS} SELECT alias, version FROM aliases",
@@ -566,7 +573,7 @@ def all_oracles() -> dict[str, str]:
           SELECT candidate, n_folds, round(f1_mean, 6) AS f1_mean, round(f1_std, 6) AS f1_std,
             round(f1_mean - (SELECT f1_mean FROM me), 6) AS gap,
             abs(f1_mean - (SELECT f1_mean FROM me)) >= (SELECT f1_std FROM me) AS significant FROM st""",
-        "local_contributions": f"""WITH {_TERMS},{_local('model', 10)} SELECT review_id, round(contribution, 6) AS contribution FROM top_terms""",
+        "local_contributions": f"""WITH {_TERMS},{_local('model', 10)} SELECT review_id, rank, term, round(contribution, 6) AS contribution FROM top_terms""",
         "contribution_sums": f"""WITH {_PRED} SELECT s.review_id, coalesce(k, 0) AS n_terms, round(coalesce(margin, 0), 6) AS margin
           FROM silver s LEFT JOIN dots USING (review_id)
           LEFT JOIN (SELECT review_id, count(*) AS k FROM weighted GROUP BY review_id) USING (review_id)""",
@@ -575,10 +582,10 @@ def all_oracles() -> dict[str, str]:
           SELECT * FROM (SELECT term, -coef_neg AS coefficient, 'negative' AS "end" FROM stable ORDER BY coefficient, term LIMIT 20)
           UNION ALL
           SELECT * FROM (SELECT term, -coef_neg AS coefficient, 'positive' AS "end" FROM stable ORDER BY coefficient DESC, term LIMIT 20))""",
-        "explanation": f"""WITH {_TERMS},{_local('stable', 5)} SELECT 'local' AS scope, review_id, CAST(rk AS INTEGER) AS rank,
+        "explanation": f"""WITH {_TERMS},{_local('stable', 5)} SELECT 'local' AS scope, review_id, rank, term,
           round(contribution, 6) AS weight FROM top_terms
           UNION ALL SELECT 'global_' || direction, NULL, CAST(row_number() OVER (PARTITION BY direction ORDER BY weight DESC, term) AS INTEGER),
-          round(weight, 6) FROM ({_GLOBAL.format(n=10)})""",
+          term, round(weight, 6) FROM ({_GLOBAL.format(n=10)})""",
         "recent_samples": """SELECT event_type AS path, event_id AS request_id FROM events
           QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) <= 500""",
         "endpoint_latency": """WITH r AS (SELECT * FROM events
@@ -607,6 +614,6 @@ def all_oracles() -> dict[str, str]:
             (SELECT count(*) FROM pred WHERE sample_source = 'natural')
           UNION ALL SELECT 'mart_not_empty', (SELECT least(count(*), 1) FROM mart), CAST(1 AS BIGINT))
           SELECT *, left_count = right_count AS success FROM x""",
-        "version_mismatches": f"WITH {_PRED} SELECT count(*) AS n_rows, count(*) FILTER (model_version <> '3') AS mismatches FROM pred",
+        "version_mismatches": f"WITH {_PRED} SELECT count(*) AS n_rows, count(*) FILTER (model_version <> '10') AS mismatches FROM pred",
     }
     return sql

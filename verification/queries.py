@@ -316,7 +316,12 @@ def scored_counts(spark, sf_dir):
 
 @query
 def service_state(spark, sf_dir):
-    return serving.service_state(Star(spark, sf_dir).model)
+    star = Star(spark, sf_dir, store_scores=True)
+    runs = daily_runs(star)
+    day = F.datediff("day", F.lit("2020-01-01").cast("date")).cast("long")
+    versions = runs.groupBy(day.alias("version")).agg(F.min("run_id").alias("run_id"))
+    models = runs.select("run_id", F.when(F.col("f1_macro") >= 0.5, F.col("f1_macro")).alias("threshold"))
+    return rounded(serving.service_state(versions, models, alias_moves(star)), "threshold")
 
 
 @query
@@ -466,7 +471,7 @@ def roc_auc(spark, sf_dir):
 
 @query
 def dataset_fingerprint(spark, sf_dir):
-    return portable(metrics.dataset_fingerprint(silver(spark, sf_dir)).drop("data_hash"))
+    return portable(metrics.dataset_fingerprint(silver(spark, sf_dir), ["review_id", "label", "created_at", "review_text"]))
 
 
 # Registry: each day of reviews stands for one training run.
@@ -542,18 +547,14 @@ def candidate_ranking(spark, sf_dir):
 def local_contributions(spark, sf_dir):
     star = Star(spark, sf_dir)
     terms = explain.local_contributions(star.silver, star.model, 10)
-    return rounded(terms, "contribution").drop("rank", "term")
+    return rounded(terms, "contribution")
 
 
 @query
 def contribution_sums(spark, sf_dir):
     """All contributions of a review add up to its margin."""
     star = Star(spark, sf_dir)
-    everything = explain.local_contributions(star.silver, star.model, None)
-    sums = everything.groupBy("review_id").agg(
-        F.count("term").alias("n_terms"), F.coalesce(F.sum("contribution"), F.lit(0.0)).alias("margin")
-    )
-    return rounded(sums, "margin")
+    return rounded(explain.contribution_sums(star.silver, star.model), "margin")
 
 
 @query
@@ -570,8 +571,7 @@ def extreme_coefficients(spark, sf_dir):
 def explanation(spark, sf_dir):
     star = Star(spark, sf_dir)
     rows = serving.explanation(star.silver, _stable(star.model), 5)
-    # Equal weights in the last place order differently on every engine: ranks and weights, not terms.
-    return rounded(rows, "weight").drop("term")
+    return rounded(rows, "weight")
 
 
 def _stable(model):
