@@ -11,7 +11,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
@@ -183,14 +183,16 @@ def encode_texts(df: DataFrame, key: str, text: str, path: str) -> DataFrame:
     """One row per row of `df`: the key, `ids` (packed little-endian unsigned 32-bit) and `decoded`."""
     python_ready(df.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = load_vocabulary(path)
         for batch in batches:
-            ids = [encode(vocabulary, t) for t in batch["text"]]
-            yield pd.DataFrame({"key": batch["key"], "ids": ids, "decoded": [decode(vocabulary, i) for i in ids]})
+            ids = [encode(vocabulary, t) for t in batch.column("text").to_pylist()]
+            decoded = pa.array([decode(vocabulary, i) for i in ids], pa.string())
+            columns = [batch.column("key"), pa.array(ids, pa.binary()), decoded]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "ids", "decoded"])
 
     kind = df.schema[key].dataType.simpleString()
-    encoded = df.selectExpr(f"`{key}` AS key", f"`{text}` AS text").mapInPandas(run, f"key {kind}, ids binary, decoded string")
+    encoded = df.selectExpr(f"`{key}` AS key", f"`{text}` AS text").mapInArrow(run, f"key {kind}, ids binary, decoded string")
     return encoded.withColumnRenamed("key", key)
 
 
@@ -203,21 +205,21 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
     python_ready(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = load_vocabulary(path)
         for batch in batches:
             rows = []
-            for text in batch["text"]:
+            for text in batch.column("text").to_pylist():
                 packed = encode(vocabulary, text)
                 said = decode(vocabulary, packed)
                 digest = hashlib.sha256(said.encode("utf-8", "surrogatepass")).hexdigest()
                 rows.append((len(packed) // 4, hashlib.sha256(packed).hexdigest(), digest))
-            out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield out
+            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string()))]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names)
 
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def default_path() -> str:

@@ -4,19 +4,20 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import reviewlake
-from reviewlake.session import parallelism, pin
+from reviewlake.session import parallelism, pin, shared_folder
 
 #: Arrow batches hold whole rows; long texts make batches of the default 10 000 rows too large for a worker.
 BATCH_ROWS = 256
@@ -46,6 +47,28 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def store(df: DataFrame) -> DataFrame:
+    """`pin` with the denser of Parquet's codecs, for the larger intermediate tables."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/stored-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, *frames: DataFrame) -> None:
+    """Delete the files of frames that `store` or `pin` made and that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    for folder in {file.rsplit("/", 1)[0] for frame in frames for file in frame.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def with_columns(batch: pa.RecordBatch, **columns) -> pa.RecordBatch:
+    """A batch with columns added; those it has pass through untouched, so that null and large ids stay exact."""
+    added = [pa.array(c if isinstance(c, np.ndarray) else list(c)) for c in columns.values()]
+    return pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, *columns])
+
+
 def forget_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of frames that nobody holds any more."""
     gc.collect()
@@ -63,18 +86,18 @@ def ranged_sums(df: DataFrame, order: list[str], value: str) -> tuple[DataFrame,
     python_ready(spark)
     schema = T.StructType([*df.schema.fields, *(T.StructField(n, T.LongType()) for n in ("part", "start", "index"))])
 
-    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, total, rows = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
-            sizes = batch[value].to_numpy(dtype=np.int64)
+            n = batch.num_rows
+            sizes = batch.column(value).to_numpy(zero_copy_only=False).astype(np.int64)
             ends = np.cumsum(sizes) + total
-            index = np.arange(rows, rows + len(batch), dtype=np.int64)
-            yield batch.assign(part=np.int64(part), start=ends - sizes, index=index)
-            if len(batch):
-                total, rows = int(ends[-1]), rows + len(batch)
+            yield with_columns(batch, part=np.full(n, part), start=ends - sizes, index=np.arange(rows, rows + n))
+            if n:
+                total, rows = int(ends[-1]), rows + n
 
     spread = df.repartitionByRange(parallelism(spark), *order).sortWithinPartitions(*order)
-    stored = pin(spread.mapInPandas(local, schema))
+    stored = pin(spread.mapInArrow(local, schema))
     totals = sorted(stored.groupBy("part").agg(F.sum(value).alias("s"), F.count("*").alias("n")).collect())
     before, seen, offsets = 0, 0, []
     for part, size, rows in totals:  # one row per partition

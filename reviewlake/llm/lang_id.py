@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -164,14 +165,15 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     shared = spark.sparkContext.broadcast(model)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         lookup = model.lookup() if model else None
         for batch in batches:
-            lang, score = ["und"] * len(batch), [0.0] * len(batch)
-            at = [i for i, t in enumerate(batch["text"]) if model and t and LETTER.search(t)]
+            whole = batch.column("text").to_pylist()
+            lang, score = ["und"] * len(whole), [0.0] * len(whole)
+            at = [i for i, t in enumerate(whole) if model and t and LETTER.search(t)]
             if at:
-                texts = [batch["text"].iat[i].encode("utf-8", "surrogatepass") for i in at]
+                texts = [whole[i].encode("utf-8", "surrogatepass") for i in at]
                 bits = model.lengths(lookup, texts)
                 sizes = np.array([[len(t)] for t in texts])
                 best = bits.argmin(axis=1)
@@ -179,10 +181,11 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                 top = 1.0 / np.exp2(evidence).sum(axis=1)
                 for i, b, p in zip(at, best, top, strict=True):
                     lang[i], score[i] = model.langs[b], float(p)
-            yield batch[["doc_id", "held_out"]].assign(lang_pred=lang, score=score)
+            columns = [batch.column("doc_id"), batch.column("held_out"), pa.array(lang, pa.string()), pa.array(score, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "lang_pred", "score"])
 
     rows = docs.select("doc_id", held_out().alias("held_out"), "text")
-    return rows.mapInPandas(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
 def op8_language_id(spark, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -86,11 +87,11 @@ def signed(docs: DataFrame) -> DataFrame:
     python_ready(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes: dict[str, int] = {}
         for batch in batches:
             sets, signs = [], []
-            for text, text_id in zip(batch["text"], batch["text_id"], strict=True):
+            for text, text_id in zip(batch.column("text").to_pylist(), batch.column("text_id").to_pylist(), strict=True):
                 hashed = shingles(text, hashes)
                 if len(hashed):
                     sets.append(np.uint64(xxhash.xxh64_intdigest(hashed.tobytes())).astype(np.int64))
@@ -98,10 +99,11 @@ def signed(docs: DataFrame) -> DataFrame:
                 else:
                     sets.append(np.int64(text_id))
                     signs.append(None)
-            yield batch[["doc_id", "text_id"]].assign(set_id=np.array(sets, dtype=np.int64), signature=signs)
+            columns = [batch.column("doc_id"), batch.column("text_id"), pa.array(sets, pa.int64()), pa.array(signs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_id", "set_id", "signature"])
 
     rows = docs.select("doc_id", text_or_empty().alias("text")).withColumn("text_id", F.xxhash64("text"))
-    return rows.mapInPandas(run, f"doc_id {kind}, text_id long, set_id long, signature binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, text_id long, set_id long, signature binary")
 
 
 def proposed_groups(sets: DataFrame, length: int) -> DataFrame:

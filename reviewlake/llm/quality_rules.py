@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import python_ready, table
+from reviewlake.llm.common import python_ready, table, with_columns
 
 #: Labelled documents used to fit at most, those whose ids hash lowest.
 SAMPLE = 20_000
@@ -229,20 +229,18 @@ def judge(docs: DataFrame, model: Trees | None, columns: list[str] | None = None
     carried = [c for c in columns or ["doc_id"] if c not in made]
     names = list(dict.fromkeys([*carried, "text"]))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            found = [statistics(t) for t in batch["text"]]
+            found = [statistics(t) for t in batch.column("text").to_pylist()]
             base = np.array([f[0] for f in found], dtype=np.int64).reshape(-1, len(BASE))
             failed, quality, kept = _verdict(found, model)
-            out = batch[carried].reset_index(drop=True)
-            for i, name in enumerate(BASE):
-                out[name] = base[:, i]
-            yield out.assign(base_failed=failed, quality=quality, kept=kept)
+            counts = {name: np.ascontiguousarray(base[:, i]) for i, name in enumerate(BASE)}
+            yield with_columns(batch.select(carried), **counts, base_failed=failed, quality=quality, kept=kept)
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carried)
     schema += "".join(f", {c} long" for c in BASE) + ", base_failed boolean, quality double, kept boolean"
-    return docs.select(*(F.col(f"`{c}`") for c in names)).mapInPandas(run, schema)
+    return docs.select(*(F.col(f"`{c}`") for c in names)).mapInArrow(run, schema)
 
 
 def keep(docs: DataFrame, model: Trees | None) -> DataFrame:
