@@ -15,7 +15,7 @@ from reviewlake.llm.common import python_ready, table
 
 #: Words of a seed.
 SEED = 3
-#: A seed in at most this share of the documents is rare; an item always keeps its rarer half.
+#: A seed in at most this share of the documents is rare; of an item's seeds that occur, the rarer half always serves.
 RARE = 0.001
 #: Alignment score from which a document holds an item (1: every word of the item, in order).
 SCORE = 0.5
@@ -72,14 +72,14 @@ class Items:
         return at[same], found[same]
 
     def keep_rare(self, frequency: np.ndarray, documents: int) -> None:
-        """Use a seed that is rare, or that is in the rarer half of an item's seeds."""
+        """Use a seed that is rare, or that is in the rarer half of those of an item's seeds that occur at all."""
         self.used = frequency <= RARE * documents
         of_item: dict[int, set[int]] = defaultdict(set)
         for seed, places in enumerate(self.places):
             for item, _ in places:
                 of_item[item].add(seed)
         for seeds in of_item.values():
-            ranked = sorted(seeds, key=lambda s: (frequency[s], s))
+            ranked = sorted((s for s in seeds if frequency[s]), key=lambda s: (frequency[s], s))
             self.used[ranked[: (len(ranked) + 1) // 2]] = True
 
     def windows(self, numbers: np.ndarray) -> Iterator[tuple[int, int, int]]:
