@@ -9,6 +9,7 @@ from reviewlake.llm.chat import op1_chat
 from reviewlake.llm.decontaminate import op10_decontamination
 from reviewlake.llm.lang_id import op8_language_id
 from reviewlake.llm.ngram_join import op3_ngram_join
+from reviewlake.llm.oracle import ORACLES
 from reviewlake.llm.pii import op7_pii
 from reviewlake.llm.quality_rules import op5_quality_rules
 from reviewlake.llm.sharding import op2_sharding
@@ -36,6 +37,6 @@ OPERATORS = (
     op10_decontamination,
 )
 
-QUERIES = {f.__name__: f for f in (*OPERATORS, pipeline)}
+__all__ = ["ORACLES", "QUERIES"]
 
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (*OPERATORS, pipeline)}
