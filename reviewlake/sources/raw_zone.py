@@ -29,7 +29,7 @@ def new_reviews(incoming: DataFrame, seen: DataFrame) -> DataFrame:
     apart by their content, so that a rerun picks the same one.
     """
     order = [
-        F.coalesce("timestamp_updated", "timestamp_created").desc_nulls_last(),
+        F.coalesce(F.expr("try_cast(timestamp_updated AS bigint)"), "timestamp_created").desc_nulls_last(),
         F.xxhash64(F.to_json(F.struct(*(F.col(c) for c in incoming.columns if c not in KEYS)))),
     ]
     ranked = incoming.withColumn("_copy", F.row_number().over(Window.partitionBy(*KEYS).orderBy(*order)))
