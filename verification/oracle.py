@@ -431,6 +431,16 @@ def all_oracles() -> dict[str, str]:
     """Query name to SQL."""
     sql = {
         "silver_clean": f"WITH {_SILVER} SELECT {_CLEAN_COLUMNS} FROM silver_len",
+        "snapshot_history": f"""WITH {_SILVER}, n AS (SELECT count(*) AS a, count(*) FILTER (sample_source = 'natural') AS b FROM silver)
+          SELECT 1 AS snapshot_id, 'overwrite' AS operation, a AS n_rows, true AS current FROM n
+          UNION ALL SELECT 2, 'overwrite', b, false FROM n UNION ALL SELECT 1, 'restore', a, true FROM n""",
+        "time_travel": f"""WITH {_SILVER} SELECT {_CLEAN_COLUMNS} FROM silver_len
+          UNION ALL SELECT {_CLEAN_COLUMNS} FROM silver_len WHERE sample_source = 'natural'""",
+        "raw_roundtrip": f"""WITH {_RAW} SELECT rid AS recommendationid, sample_source, app_id, language, review, voted_up, votes_up,
+          created AS timestamp_created FROM raw
+          QUALIFY row_number() OVER (PARTITION BY sample_source, app_id, language, rid ORDER BY coalesce(updated, created) DESC) = 1""",
+        "ingest_twice": f"""WITH {_RAW}, k AS (SELECT count(DISTINCT (sample_source, app_id, language, rid)) AS n FROM raw)
+          SELECT n AS n_keys, n AS n_distinct, n AS n_first, CAST(0 AS BIGINT) AS n_second FROM k""",
         "silver_dedup": f"WITH {_RAW}{_DEDUP} SELECT rid AS review_id, sample_source, source_file, updated FROM dedup",
         "pseudonymise": f"SELECT event_id, {_hmac('CAST(user_id AS VARCHAR)')} AS pseudo FROM events",
         "text_normalise": f"WITH {_RAW} SELECT rid AS review_id, source_file, md5({_clean('review')}) AS text_md5, "
@@ -558,14 +568,12 @@ def all_oracles() -> dict[str, str]:
           round(train_test_gap, 6) AS train_test_gap, round(champion_f1, 6) AS champion_f1, promoted FROM history""",
         "alias_current": f"WITH {_RUNS} SELECT alias, version FROM aliases",
         "versions_with_metrics": f"""WITH {_RUNS},
-          days AS (SELECT DISTINCT CAST(created_at AS DATE) AS d FROM silver),
-          versions AS (SELECT CAST(d - DATE '2020-01-01' AS BIGINT) AS version, '1086940-' || CAST(d AS VARCHAR) AS run_id,
-            CAST(d - DATE '2020-01-01' AS BIGINT) * 1000 AS created_ms FROM days
-            UNION ALL SELECT CAST(d - DATE '2020-01-01' AS BIGINT) + 1000, 'missing', CAST(d - DATE '2020-01-01' AS BIGINT) * 1000 + 5 FROM days),
+          versions AS (SELECT CAST(day - DATE '2020-01-01' AS BIGINT) AS version, run_id, CAST(day - DATE '2020-01-01' AS BIGINT) * 1000 AS created_ms FROM runs
+            UNION ALL SELECT CAST(day - DATE '2020-01-01' AS BIGINT) + 1000, 'missing', CAST(day - DATE '2020-01-01' AS BIGINT) * 1000 + 5 FROM runs),
           named AS (SELECT version, string_agg(alias, ',' ORDER BY alias) AS aliases FROM aliases GROUP BY version)
           SELECT version, created_ms, round(f1_macro, 6) AS f1_macro, round(train_test_gap, 6) AS train_test_gap,
           coalesce(aliases, '') AS aliases FROM versions
-          LEFT JOIN (SELECT * FROM runs WHERE app_id = 1086940) USING (run_id) LEFT JOIN named USING (version)""",
+          LEFT JOIN runs USING (run_id) LEFT JOIN named USING (version)""",
         "candidate_ranking": f"""WITH {_RUNS},
           st AS (SELECT CAST(app_id AS VARCHAR) AS candidate, count(f1_macro) AS n_folds, avg(f1_macro) AS f1_mean,
             stddev_pop(f1_macro) AS f1_std FROM runs GROUP BY ALL),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -19,7 +20,8 @@ from reviewlake.operators.silver import latest_per_review
 from reviewlake.plans import acceptance
 from reviewlake.schemas import SOURCE_NATURAL
 from reviewlake.session import pin, shared_folder
-from reviewlake.sources.raw_zone import KEYS, new_reviews, retention_split
+from reviewlake.sources.raw import scan_raw
+from reviewlake.sources.raw_zone import KEYS, RawZone, new_reviews, retention_split
 from reviewlake.sources.snapshots import SnapshotTable
 from verification.adapter import (
     LANGUAGES,
@@ -515,10 +517,9 @@ def alias_current(spark, sf_dir):
 @query
 def versions_with_metrics(spark, sf_dir):
     star = Star(spark, sf_dir, store_scores=True)
-    runs = daily_runs(star).filter(F.col("app_id") == 1086940)
-    days = star.dates.select(
-        F.datediff("date_day", F.lit("2020-01-01").cast("date")).cast("long").alias("version"),
-        F.concat(F.lit("1086940-"), F.col("date_day").cast("string")).alias("run_id"),
+    runs = daily_runs(star)
+    days = runs.select(
+        F.datediff("day", F.lit("2020-01-01").cast("date")).cast("long").alias("version"), "run_id"
     ).withColumn("created_ms", F.col("version") * 1000)
     later = days.withColumns({"version": F.col("version") + 1000, "run_id": F.lit("missing"), "created_ms": F.col("created_ms") + 5})
     return rounded(
@@ -647,13 +648,37 @@ def _two_snapshots(spark, sf_dir) -> SnapshotTable:
 def snapshot_history(spark, sf_dir):
     stored = _two_snapshots(spark, sf_dir)
     stored.restore(1)
-    return stored.history()
+    return stored.history().drop("ts_ms")
 
 
 @query
 def time_travel(spark, sf_dir):
     stored = _two_snapshots(spark, sf_dir)
-    return portable(stored.read_at(1).unionByName(stored.read()))
+    both = portable(stored.read_at(1).unionByName(stored.read()))
+    return rounded(both, "weighted_vote_score")
+
+
+def _zone(spark: SparkSession) -> RawZone:
+    return RawZone(spark, f"{shared_folder(spark)}/zone-{uuid.uuid4().hex[:8]}")
+
+
+@query
+def raw_roundtrip(spark, sf_dir):
+    """Appended as JSON lines, then scanned: the latest copy of each review of each flow."""
+    zone = _zone(spark)
+    zone.append(raw_reviews(spark, sf_dir), "first", dt.date(2026, 9, 20))
+    kept = ("recommendationid", "sample_source", "app_id", "language", "review", "voted_up", "votes_up", "timestamp_created")
+    return scan_raw(spark, zone.root).good.select(*kept)
+
+
+@query
+def ingest_twice(spark, sf_dir):
+    """What two batches with the same reviews store: all of them, then none; and the keys kept."""
+    zone, raw = _zone(spark), raw_reviews(spark, sf_dir)
+    counts = [zone.append(raw, name, dt.date(2026, 9, 20)) for name in ("first", "second")]
+    return zone.seen().agg(F.count("*").alias("n_keys"), F.countDistinct(*KEYS).alias("n_distinct")).select(
+        "n_keys", "n_distinct", *(F.lit(n).cast("long").alias(c) for n, c in zip(counts, ("n_first", "n_second")))
+    )
 
 
 SMALL_FIT = training.FitSettings(
