@@ -29,7 +29,8 @@ class Vectorizer:
 
 
 CHAR_TERMS = Vectorizer()
-WORD_TERMS = Vectorizer(analyzer="word", ngram_range=(1, 2), max_features=None)
+# A linear model keeps its coefficients on one machine, hence the cap.
+WORD_TERMS = Vectorizer(analyzer="word", ngram_range=(1, 2), max_features=BROADCASTABLE_TERMS)
 
 
 def with_terms(df: DataFrame, vectorizer: Vectorizer, text: str = "review_text") -> DataFrame:
@@ -131,11 +132,20 @@ def tfidf(
 
 
 def number_terms(terms: DataFrame) -> DataFrame:
-    """Give each term of a capped vocabulary a column number, in term order."""
-    return terms.withColumn("idx", F.row_number().over(Window.orderBy("term")) - 1)
+    """Give each term a column number, in term order: ranges are numbered apart, then shifted.
 
-
-_VECTOR_ROW = T.StructType([T.StructField("features", VectorUDT())])
+    The driver adds up one count per range.
+    """
+    ranged = terms.repartitionByRange("term").sortWithinPartitions("term")
+    place = F.monotonically_increasing_id()
+    stored = pin(ranged.withColumn("part", F.shiftright(place, 33)).withColumn("place", place.bitwiseAND(2**33 - 1)))
+    before, shifts = 0, []
+    for part, n in sorted(stored.groupBy("part").agg(F.count("*")).collect()):
+        shifts.append((part, before))
+        before += n
+    shift = F.broadcast(terms.sparkSession.createDataFrame(shifts, "part long, before long"))
+    numbered = stored.join(shift, "part").withColumn("idx", (F.col("place") + F.col("before")).cast("int"))
+    return numbered.drop("part", "place", "before")
 
 
 def sparse_vectors(
@@ -147,8 +157,8 @@ def sparse_vectors(
 ) -> DataFrame:
     """One normalised sparse ML vector per document: ``(*keep, features)``.
 
-    The entries of a document never outnumber the vocabulary. The vector is built from arrays on
-    the JVM side; no row passes through Python.
+    The entries of a document never outnumber the vocabulary. The vectors are stored as plain structs
+    and read back as vectors; no row passes through Python.
     """
     weighted = (
         document_terms(docs, *keep)
@@ -161,12 +171,12 @@ def sparse_vectors(
         F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length"),
     )
     values = F.transform("entries", lambda e: e["raw"] / F.col("length"))
-    as_row = F.struct(
-        F.struct(
-            F.lit(0).alias("type"),
-            F.lit(size).alias("size"),
-            F.transform("entries", lambda e: e["idx"]).alias("indices"),
-            values.alias("values"),
-        ).alias("features")
+    vector = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(size).alias("size"),
+        F.transform("entries", lambda e: e["idx"]).alias("indices"),
+        values.alias("values"),
     )
-    return gathered.select(*keep, F.from_json(F.to_json(as_row), _VECTOR_ROW)["features"].alias("features"))
+    plain = gathered.select(*keep, vector.alias("features"))
+    fields = [f for f in plain.schema if f.name != "features"]
+    return pin(plain, T.StructType([*fields, T.StructField("features", VectorUDT())]))

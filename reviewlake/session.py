@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 #: Padded keys appear as 128 hex digits; plans, event logs and explain show them masked.
@@ -52,16 +53,16 @@ def shared_folder(spark: SparkSession) -> str:
     return current.get()
 
 
-def pin(df: DataFrame) -> DataFrame:
+def pin(df: DataFrame, schema: StructType | None = None) -> DataFrame:
     """Write once to the shared folder and read back: cut lineage that survives lost executors.
 
     Parquet rather than a plain checkpoint, so that later readers still prune columns and push
-    filters down.
+    filters down. ``schema`` may read the columns back as other types with the same storage.
     """
     spark = df.sparkSession
     path = f"{_pin_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)
 
 
 def _pin_folder(spark: SparkSession) -> str:
