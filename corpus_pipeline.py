@@ -10,7 +10,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from reviewlake.llm import bpe, decontaminate, ngram_join, pii, quality_rules
 from reviewlake.llm.common import forget_shuffles, table
