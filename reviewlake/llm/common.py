@@ -71,8 +71,9 @@ def with_columns(batch: pa.RecordBatch, **columns) -> pa.RecordBatch:
 
 def forget_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of frames that nobody holds any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # frames hold each other in cycles across both heaps
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
 
 
 def ranged_sums(df: DataFrame, order: list[str], value: str) -> tuple[DataFrame, int, int]:

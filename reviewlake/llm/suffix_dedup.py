@@ -14,16 +14,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.common import forget_shuffles, python_ready, table, text_or_empty
+from reviewlake.llm.common import discard, forget_shuffles, python_ready, store, table, text_or_empty
 from reviewlake.session import parallelism, pin
 
 #: Bytes of a passage that counts as repeated, and of the substrings whose hashes pick a minimizer.
 SPAN, KEY = 50, 16
 #: Bytes of strings in one suffix array, and different strings of a minimizer from which windows are dealt singly.
 BLOB, MANY = 4 << 20, 20_000
+#: Different strings whose owners a task gathers before it sends them on.
+COMBINED = 100_000
 #: Ends a string; no UTF-8 text holds this byte.
 END = 0xFF
 
@@ -194,13 +196,18 @@ def _data(value) -> np.ndarray:
 
 
 def _shared_minimizers(keyed: DataFrame) -> DataFrame:
-    """text_id, marks: the minimizers of each text that occur in more than one document."""
+    """text_id, marks: the minimizers of each text that occur in more than one text."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             own = [np.unique(runs(_data(d))[0]) for d in batch["data"]]
-            found, n = np.unique(np.concatenate([*own, np.zeros(0, dtype=np.uint64)]), return_counts=True)
-            yield pd.DataFrame({"m": found.astype(np.int64), "n": n.astype(np.int64)})
+            found = np.concatenate([*own, np.zeros(0, dtype=np.uint64)]).astype(np.int64)
+            texts = np.repeat(batch["text_id"].to_numpy(), [len(o) for o in own])
+            order = np.lexsort((texts, found))
+            found, texts = found[order], texts[order]
+            first = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1]))) if len(found) else order
+            last = np.append(first[1:], len(found)) - 1 if len(found) else order
+            yield pd.DataFrame({"m": found[first], "low": texts[first], "high": texts[last]})
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -208,11 +215,15 @@ def _shared_minimizers(keyed: DataFrame) -> DataFrame:
             texts = np.repeat(batch["text_id"].to_numpy(), [len(o) for o in own])
             yield pd.DataFrame({"m": np.concatenate([*own, np.zeros(0, dtype=np.uint64)]).astype(np.int64), "text_id": texts})
 
-    counted = keyed.select("data").mapInPandas(count, "m long, n long").groupBy("m").agg(F.sum("n").alias("n"))
-    shared = pin(counted.filter("n > 1").select("m"))
+    counted = keyed.select("data", "text_id").mapInPandas(count, "m long, low long, high long")
+    counted = counted.groupBy("m").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    shared = store(counted.filter("low < high").select("m"))
     forget_shuffles(keyed.sparkSession)
     placed = keyed.select("data", "text_id").mapInPandas(place, "m long, text_id long")
-    return placed.join(shared, "m").groupBy("text_id").agg(F.collect_set("m").alias("marks"))
+    marks = store(placed.join(shared, "m").groupBy("text_id").agg(F.collect_set("m").alias("marks")))
+    discard(keyed.sparkSession, shared)
+    forget_shuffles(keyed.sparkSession)
+    return marks
 
 
 def _strings(chosen: DataFrame) -> DataFrame:
@@ -238,13 +249,25 @@ def _strings(chosen: DataFrame) -> DataFrame:
 def _verdicts(strings: DataFrame) -> DataFrame:
     """m, h, base, spans: for each different string, who owns its windows from `base` on.
 
-    Strings that stand in one document only and own all their windows are left out.
+    Each task gathers the owners of equal strings before the one exchange, so a passage that very many documents
+    hold arrives as a few rows. Strings that stand in one document only and own all their windows are left out.
     """
     spark = strings.sparkSession
-    different = strings.groupBy("m", "h", "s").agg(F.min("owner").alias("owner"), F.max("owner").alias("last"))
-    different = pin(different)
+    crowded = strings.select("m", "h").distinct().groupBy("m").count()
+    crowded = pin(crowded.filter(F.col("count") > MANY).select("m", F.lit(True).alias("crowded")))
     forget_shuffles(spark)
-    crowded = different.groupBy("m").count().filter(F.col("count") > MANY).select("m", F.lit(True).alias("crowded"))
+
+    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple[int, int], list] = {}
+        for batch in batches:
+            if len(held) >= COMBINED:
+                yield _combined(held)
+                held = {}
+            for m, h, s, owner in zip(batch["m"].tolist(), batch["h"].tolist(), batch["s"], batch["owner"].tolist(), strict=True):
+                _note(held, (m, h), s, owner, owner)
+        yield _combined(held)
+
+    different = strings.select("m", "h", "s", "owner").mapInPandas(combine, "m long, h long, s binary, owner long, last long")
     dealt = different.join(crowded, "m", "left")
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -265,28 +288,44 @@ def _verdicts(strings: DataFrame) -> DataFrame:
     buckets = buckets.repartition(parallelism(spark), "bucket").sortWithinPartitions("bucket")
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, size, bucket = [], 0, None
+        held: dict[tuple[int, int, int], list] = {}
+        size, bucket = 0, None
         for batch in batches:
             for row in batch.itertuples(index=False):
                 if row.bucket != bucket and size >= BLOB:
                     yield _judged(held)
-                    held, size = [], 0
+                    held, size = {}, 0
                 bucket = row.bucket
-                held.append(row)
-                size += len(row.s)
+                if _note(held, (row.m, row.h, row.base), row.s, row.owner, row.last):
+                    size += len(row.s)
         yield _judged(held)
 
     return buckets.mapInPandas(judge, "m long, h long, base long, spans array<struct<low: long, high: long, owner: long>>")
 
 
-def _judged(held: list) -> pd.DataFrame:
+def _note(held: dict, key: tuple, s: bytes, owner: int, last: int) -> bool:
+    """Add the owners of a string to those already held; whether it is new."""
+    known = held.get(key)
+    if known is None:
+        held[key] = [bytes(s), owner, last]
+        return True
+    known[1], known[2] = min(known[1], owner), max(known[2], last)
+    return False
+
+
+def _combined(held: dict[tuple[int, int], list]) -> pd.DataFrame:
+    rows = [(m, h, s, owner, last) for (m, h), (s, owner, last) in held.items()]
+    return pd.DataFrame(rows, columns=["m", "h", "s", "owner", "last"])
+
+
+def _judged(held: dict[tuple[int, int, int], list]) -> pd.DataFrame:
     out = []
     if held:
-        owners = np.array([row.owner for row in held], dtype=np.int64)
-        found = first_owners([bytes(row.s) for row in held], owners)
-        for row, first in zip(held, found, strict=True):
-            if row.last > row.owner or (first < row.owner).any():
-                out.append((row.m, row.h, row.base, _spans(first)))
+        owners = np.array([owner for _, owner, _ in held.values()], dtype=np.int64)
+        found = first_owners([s for s, _, _ in held.values()], owners)
+        for (m, h, base), (_, owner, last), first in zip(held, held.values(), found, strict=True):
+            if last > owner or (first < owner).any():
+                out.append((m, h, base, _spans(first)))
     return pd.DataFrame(out, columns=["m", "h", "base", "spans"])
 
 
@@ -314,22 +353,28 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     python_ready(spark)
     keyed = _keyed(docs)
-    texts = pin(keyed.groupBy("md5", "text_id").agg(F.min("rank").alias("owner")))
-    forget_shuffles(spark)
-    marked = pin(_shared_minimizers(keyed).join(texts, "text_id"))
+    texts = store(keyed.groupBy("md5", "text_id").agg(F.min("rank").alias("owner")))
     forget_shuffles(spark)
+    marks = _shared_minimizers(keyed)
+    marked = marks.join(texts, "text_id")
     first = [keyed["text_id"] == marked["text_id"], keyed["md5"] == marked["md5"], keyed["rank"] == marked["owner"]]
     chosen = keyed.join(marked, first).select("data", "marks", "owner", marked["text_id"])
-    strings = pin(_strings(chosen))
+    strings = store(_strings(chosen))
+    discard(spark, marks)
+    del chosen, marked
     forget_shuffles(spark)
-    verdicts = pin(_verdicts(strings))
+    verdicts = store(_verdicts(strings))
     forget_shuffles(spark)
     places = strings.select("m", "h", F.col("owner").alias("rank"), "text_id", "at").join(verdicts, ["m", "h"])
     losing = places.select("text_id", "rank", F.col("at") + F.col("base"), F.explode("spans").alias("x")).toDF("text_id", "rank", "at", "x")
     losing = losing.filter("x.owner < rank").select(
         "text_id", "rank", F.struct((F.col("at") + F.col("x.low")).alias("low"), (F.col("at") + F.col("x.high") + (SPAN - 1)).alias("high")).alias("span")
     )
-    return texts, losing.groupBy("text_id", "rank").agg(F.collect_set("span").alias("spans"))
+    spans = store(losing.groupBy("text_id", "rank").agg(F.collect_set("span").alias("spans")))
+    discard(spark, strings, verdicts)
+    del places, losing
+    forget_shuffles(spark)
+    return texts, spans
 
 
 def removed_repeats(docs: DataFrame) -> DataFrame:
@@ -341,8 +386,6 @@ def removed_repeats(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     texts, spans = repeated_spans(docs)
-    spans = pin(spans)
-    forget_shuffles(spark)
     keyed = _keyed(docs)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -356,7 +399,7 @@ def removed_repeats(docs: DataFrame) -> DataFrame:
 
     schema = "text_id long, rank long, n_removed long, n_spans long, kept_sha256 string"
     partly = keyed.join(spans, ["text_id", "rank"]).select("text_id", "rank", "data", "spans").mapInPandas(cut, schema)
-    partly = pin(partly.distinct())
+    partly = store(partly.distinct())
     forget_shuffles(spark)
     facts = keyed.select("doc_id", "rank", "text_id", "md5", F.octet_length("data").cast("long").alias("n_bytes"), F.sha2("data", 256).alias("whole"))
     joined = facts.join(texts.select("md5", "owner"), "md5").join(partly, ["text_id", "rank"], "left")
