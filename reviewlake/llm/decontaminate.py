@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds find places, Smith-Waterman alignment scores edited copies."""
+"""Benchmark decontamination: n-gram seeds find places, Smith-Waterman alignment scores edited copies."""
 
 from __future__ import annotations
 
@@ -15,8 +15,6 @@ from reviewlake.llm.common import python_ready, table
 
 #: Words of a seed.
 SEED = 3
-#: A seed in at most this share of the documents is rare; of an item's seeds that occur, the rarer half always serves.
-RARE = 0.001
 #: Alignment score from which a document holds an item (1: every word of the item, in order).
 SCORE = 0.5
 # Alignment of words: what a match earns, what a different or missing word costs.
@@ -44,7 +42,6 @@ class Items:
                 places[key].append((item, at))
         self.seeds = np.array(sorted(places), dtype=np.int64)
         self.places = [places[k] for k in self.seeds.tolist()]
-        self.used = np.ones(len(self.seeds), dtype=bool)
 
     def keys(self, numbers: np.ndarray) -> np.ndarray:
         """One number per run of SEED words, -1 where a word is unknown; a short item is one run by itself."""
@@ -71,30 +68,19 @@ class Items:
         same = self.seeds[found] == keys[at]
         return at[same], found[same]
 
-    def keep_rare(self, frequency: np.ndarray, documents: int) -> None:
-        """Use a seed that is rare, or that is in the rarer half of those of an item's seeds that occur at all."""
-        self.used = frequency <= RARE * documents
-        of_item: dict[int, set[int]] = defaultdict(set)
-        for seed, places in enumerate(self.places):
-            for item, _ in places:
-                of_item[item].add(seed)
-        for seeds in of_item.values():
-            ranked = sorted((s for s in seeds if frequency[s]), key=lambda s: (frequency[s], s))
-            self.used[ranked[: (len(ranked) + 1) // 2]] = True
-
     def windows(self, numbers: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(item, from, to): stretches of a text where at least two used seeds of an item point to one place.
+        """(item, from, to): stretches of a text where at least two seeds of an item point to one place.
 
-        Items with fewer than two used seeds need one. Stretches of one item that touch are one.
+        Every seed serves, however common it is: those that an edited copy keeps may be the item's most frequent.
+        Items with fewer than two seeds need one. Stretches of one item that touch are one.
         """
         at, seeds = self.hits(numbers)
         pointed: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
         for place, seed in zip(at.tolist(), seeds.tolist(), strict=True):
-            if self.used[seed]:
-                for item, inside in self.places[seed]:
-                    size = len(self.words[item])
-                    slack = size // 2
-                    pointed[item].append((max(0, place - inside - slack), place - inside + size + slack, seed))
+            for item, inside in self.places[seed]:
+                size = len(self.words[item])
+                slack = size // 2
+                pointed[item].append((max(0, place - inside - slack), place - inside + size + slack, seed))
         for item, spans in pointed.items():
             need = min(2, len(self.words[item]) - SEED + 1)
             spans.sort()
@@ -140,30 +126,6 @@ def _blocks(benchmark: DataFrame) -> Iterator[Items]:
         yield Items(block)
 
 
-def _frequencies(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
-    """In how many documents each seed stands, over all documents, and how many documents there are."""
-    shared = docs.sparkSession.sparkContext.broadcast(items)
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        items, rows = shared.value, 0
-        total = np.zeros(len(items.seeds), dtype=np.int64)
-        for batch in batches:
-            rows += len(batch)
-            for text in batch["text"]:
-                total[np.unique(items.hits(items.numbers(words_of(text)))[1])] += 1
-        found = np.flatnonzero(total)
-        yield pd.DataFrame({"seed": np.append(found, -1), "n": np.append(total[found], rows)})
-
-    counted = docs.select("text").mapInPandas(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
-    frequency, documents = np.zeros(len(items.seeds), dtype=np.int64), 0
-    for seed, n in counted.collect():  # at most one row per seed of the block
-        if seed < 0:
-            documents = n
-        else:
-            frequency[seed] = n
-    return frequency, documents
-
-
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, score, end_word: each document that holds a benchmark item, and the item.
 
@@ -177,7 +139,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     schema = f"doc_id {kind}, item_id {item_kind}, score double, end_word long"
     found = _none(spark, schema)
     for items in _blocks(benchmark):
-        items.keep_rare(*_frequencies(docs, items))
         found = found.unionByName(_aligned(docs, items, schema))
     return found
 

@@ -372,6 +372,19 @@ def test_common_contamination_is_still_found(spark):
     assert sorted(r.doc_id for r in decontaminate.leaks(docs, bench).collect()) == list(range(50))
 
 
+def test_edited_copies_are_found_beside_exact_ones(spark):
+    rnd = random.Random(8)
+    item = [word(rnd) for _ in range(20)]
+    fill = lambda n: " ".join(word(rnd, "qrstuv") for _ in range(n))
+    edited = " ".join("changed" if k % 4 == 3 else w for k, w in enumerate(item))
+    held = [*[" ".join(item)] * 5, edited, " ".join(item[:12])]
+    rows = [(k, f"{fill(30)} {text} {fill(30)}") for k, text in enumerate(held)] + [(k, fill(60)) for k in range(100, 293)]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: r.score for r in decontaminate.leaks(docs, bench).collect()}
+    # Of the edited copy's last run, the replaced last word is left out: 15 kept words, 4 replaced between them.
+    assert got == {**{k: 1.0 for k in range(5)}, 5: 26 / 40, 6: 24 / 40}
+
+
 def test_stages_keep_the_columns(spark, docs, tmp_path):
     labels = spark.createDataFrame([(1, 1), (32, 0), (33, 0), (30, 1)], "doc_id long, quality int")
     labels.write.parquet(str(tmp_path / "labels.parquet"))
