@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -137,20 +138,21 @@ def proposed_groups(sets: DataFrame, length: int) -> DataFrame:
 def _intersections(sets: list[np.ndarray], split: int) -> np.ndarray:
     """Sizes of the intersections of the first `split` sets with all sets."""
     if len(sets) <= 6:
-        return np.array([[len(np.intersect1d(a, b, assume_unique=True)) for b in sets] for a in sets[:split]]).reshape(split, -1)
+        common = [[len(np.intersect1d(a, b, assume_unique=True)) for b in sets] for a in sets[:split]]
+        return np.array(common, dtype=np.int64).reshape(split, -1)
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     shared = times[column] > 1
     order = np.argsort(column[shared], kind="stable")
     column, owner = column[shared][order], owner[shared][order]
     column = np.cumsum(np.concatenate(([0], column[1:] != column[:-1]))) if len(column) else column
-    out = np.zeros((split, len(sets)), dtype=np.float32)
+    out = np.zeros((split, len(sets)), dtype=np.int64)
     width = 4096
     for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
         low, high = np.searchsorted(column, (at, at + width))
         dense = np.zeros((len(sets), width), dtype=np.float32)
         dense[owner[low:high], column[low:high] - at] = 1.0
-        out += dense[:split] @ dense.T
+        out += (dense[:split] @ dense.T).astype(np.int64)  # at most `width`, so exact in float32
     return out
 
 
@@ -163,11 +165,12 @@ def compare(ids: list[int], texts: list[int], blocks: list[int], sets: list[np.n
     order = sorted(range(len(ids)), key=lambda i: (blocks[i], ids[i]))
     split = len(ids) if len(set(blocks)) == 1 else sum(b == blocks[order[0]] for b in blocks)
     ids, texts, sets = [ids[i] for i in order], np.array([texts[i] for i in order]), [sets[i] for i in order]
-    sizes = np.array([len(s) for s in sets], dtype=float)
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
     common = _intersections(sets, split)
     with np.errstate(divide="ignore", invalid="ignore"):
         jaccard = common / (sizes[:split, None] + sizes[None, :] - common)
-    linked = common * (1 + SIMILAR) >= SIMILAR * (sizes[:split, None] + sizes[None, :]) - 1e-6
+    bound = Fraction(str(SIMILAR))
+    linked = common * (bound.denominator + bound.numerator) >= bound.numerator * (sizes[:split, None] + sizes[None, :])
     if split == len(ids):
         np.fill_diagonal(linked, False)
     else:

@@ -133,6 +133,17 @@ def test_large_groups_are_compared_in_blocks(spark, monkeypatch):
     assert counted(ngram_join.similar_classes(df), "doc_id", "class_id", "n_links") == classes_by_hand(rows)
 
 
+def test_links_at_exactly_the_threshold_in_groups_of_any_size():
+    for k in (1, 2, 3, 6, 7, 8, 9, 11, 50, 333):
+        a, b, less = np.arange(5 * k), np.arange(4 * k), np.arange(k, 5 * k - 1)  # 4k of 5k in common, and one fewer
+        for others in (0, 6):
+            sets = [s.astype(np.uint64) for s in (a, b, less, *(np.arange(10 * k) + 10_000 * (i + 1) for i in range(others)))]
+            n = len(sets)
+            got = {r[0]: r[2] for r in ngram_join.compare(list(range(n)), [1] * n, [0] * n, sets, 6)}
+            wanted = {i: sum(j != i and 5 * len(np.intersect1d(x, y)) >= 4 * len(np.union1d(x, y)) for j, y in enumerate(sets)) for i, x in enumerate(sets)}
+            assert got == {i: m for i, m in wanted.items() if m} and got[0] == got[1] == 1
+
+
 def test_one_of_each_class_is_kept(docs):
     kept = ngram_join.keep_one(docs)
     assert kept.columns == docs.columns
