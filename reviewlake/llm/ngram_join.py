@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from fractions import Fraction
@@ -33,8 +34,9 @@ WORD = re.compile(r"\w+")
 _RANDOM = np.random.default_rng(20240229)
 MASKS = _RANDOM.integers(0, 1 << 63, VALUES, dtype=np.uint64)
 FACTORS = _RANDOM.integers(0, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: The signature values on the path of each tree.
-PATHS = np.stack([_RANDOM.permutation(VALUES)[:DEPTH] for _ in range(TREES)])
+#: The signature values on the path of each tree. As many trees as a shuffle of the values can hold share none.
+_APART = VALUES // DEPTH
+PATHS = np.concatenate([_RANDOM.permutation(VALUES)[: _APART * DEPTH].reshape(_APART, DEPTH) for _ in range(-(-TREES // _APART))])[:TREES]
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -71,8 +73,17 @@ def signature(hashed: np.ndarray) -> np.ndarray:
 
 
 def found_share(similar, length: int):
-    """Probability that two sets of this similarity meet in at least one tree at this prefix length."""
-    return 1.0 - (1.0 - np.asarray(similar, dtype=float) ** length) ** TREES
+    """Probability, at least, that two sets of this similarity meet in at least one tree at this prefix length.
+
+    All trees read one signature, so they depend on each other through the number of its values that are equal: the
+    chance is summed over that number. Given it, paths of `length` different values count as drawn independently;
+    paths that share no value miss together less often than that.
+    """
+    similar = np.asarray(similar, dtype=float)[..., None]
+    equal = np.arange(VALUES + 1)
+    ways = np.array([float(math.comb(VALUES, k)) for k in equal])
+    meets = np.array([math.comb(k, length) / math.comb(VALUES, length) for k in equal])
+    return 1.0 - (ways * similar**equal * (1.0 - similar) ** (VALUES - equal) * (1.0 - meets) ** TREES).sum(axis=-1)
 
 
 def first_length() -> int:
@@ -159,8 +170,8 @@ def _intersections(sets: list[np.ndarray], split: int) -> np.ndarray:
 def compare(ids: list[int], texts: list[int], blocks: list[int], sets: list[np.ndarray], length: int) -> list[tuple[int, int, int, float]]:
     """Exact comparison of one block with itself (`blocks` all equal) or with another.
 
-    One row per set with a link: (set_id, smallest set it hangs together with here, texts it links to, links the
-    forest is expected to have missed for each one found).
+    One row per set with a link: (set_id, smallest set it hangs together with here, texts it links to, chance that
+    the forest misses a link as weak as the weakest of these).
     """
     order = sorted(range(len(ids)), key=lambda i: (blocks[i], ids[i]))
     split = len(ids) if len(set(blocks)) == 1 else sum(b == blocks[order[0]] for b in blocks)
@@ -176,14 +187,14 @@ def compare(ids: list[int], texts: list[int], blocks: list[int], sets: list[np.n
     else:
         linked[:, :split] = False
     rows, columns = np.nonzero(linked)
-    chance = found_share(np.minimum(jaccard[rows, columns], 1.0), length)
-    missed = (1.0 - chance) / np.maximum(chance, 1e-9)
-    n, lost, root = np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids)), list(range(len(ids)))
+    n, weakest, root = np.zeros(len(ids), dtype=np.int64), np.ones(len(ids)), list(range(len(ids)))
     np.add.at(n, rows, texts[columns])
-    np.add.at(lost, rows, missed)
+    np.minimum.at(weakest, rows, jaccard[rows, columns])
     if split < len(ids):
         np.add.at(n, columns, texts[rows])
-        np.add.at(lost, columns, missed)
+        np.minimum.at(weakest, columns, jaccard[rows, columns])
+    linking = np.flatnonzero(n)
+    lost = dict(zip(linking.tolist(), (1.0 - found_share(weakest[linking], length)).tolist(), strict=True))
 
     def top(i: int) -> int:
         while root[i] != i:
@@ -195,7 +206,7 @@ def compare(ids: list[int], texts: list[int], blocks: list[int], sets: list[np.n
         a, b = top(a), top(b)
         if a != b:
             root[max(a, b, key=lambda i: ids[i])] = min(a, b, key=lambda i: ids[i])
-    return [(ids[i], ids[top(i)], int(n[i]), float(lost[i])) for i in range(len(ids)) if n[i]]
+    return [(ids[i], ids[top(i)], int(n[i]), missed) for i, missed in lost.items()]
 
 
 def verified(docs: DataFrame, members: DataFrame, length: int) -> DataFrame:
@@ -263,8 +274,8 @@ def similar_classes(docs: DataFrame) -> DataFrame:
     (null counts as empty) are linked to none and share a class only with equal texts. A null doc_id is larger than
     any other; an empty table gives an empty result.
 
-    The prefix length starts at the longest that meets RECALL at the threshold and is shortened while the links
-    found say that more than 1 - RECALL of all links were missed.
+    The prefix length starts at the longest that meets RECALL at the threshold and is shortened while links as weak
+    as the weakest one found are missed more often than 1 - RECALL, however many closer ones there are.
     """
     spark = docs.sparkSession
     rows = pin(signed(docs))
@@ -283,8 +294,8 @@ def similar_classes(docs: DataFrame) -> DataFrame:
         facts = sets.select("set_id", "first.doc_id", "first.text_id", "n_texts")
         links = pin(verified(docs, groups.join(facts, "set_id"), length))
         forget_shuffles(spark)
-        n, missed = links.agg(F.sum("n"), F.sum("missed")).first()
-        if length == 1 or not n or missed / (n + missed) <= 1 - RECALL:
+        missed = links.agg(F.max("missed")).first()[0]
+        if length == 1 or missed is None or missed <= 1 - RECALL:
             break
         length -= 1
     classes = components(links.select(F.col("set_id").alias("a"), F.col("root").alias("b")))

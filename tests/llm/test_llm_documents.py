@@ -1,6 +1,7 @@
 """Each document operator against brute force, on rows with nulls, repeats, ties, long texts and clashing columns."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -156,6 +157,27 @@ def test_prefix_length_meets_the_target():
     assert ngram_join.found_share(0.8, length) >= ngram_join.RECALL > ngram_join.found_share(0.8, length + 1)
 
 
+def test_the_forest_itself_meets_the_target_at_the_threshold():
+    rng, length, missed = np.random.default_rng(2), ngram_join.first_length(), 0.0
+    values = ngram_join.VALUES
+    for k in range(66, 122):  # by the number of equal values of a signature; fewer or more hardly ever occur or miss
+        share = math.comb(values, k) * 0.8**k * 0.2 ** (values - k)
+        if share > 1e-9:
+            equal = np.zeros((4000, values), dtype=bool)
+            np.put_along_axis(equal, np.argsort(rng.random((4000, values)), axis=1)[:, :k], True, axis=1)
+            missed += share * (~np.any([equal[:, p].all(axis=1) for p in ngram_join.PATHS[:, :length]], axis=0)).mean()
+    assert missed <= 1 - ngram_join.RECALL
+    assert 1 - ngram_join.found_share(0.8, 8) == pytest.approx(8.7e-4, rel=0.01)
+
+
+def test_close_copies_do_not_hide_the_loss_of_weak_links():
+    near = [np.arange(1000, dtype=np.uint64) + np.uint64(k) for k in range(20)]
+    weak = np.arange(110, 1000, dtype=np.uint64)[:800]  # 0.8 of the first set
+    sets = [*near, weak]
+    told = ngram_join.compare(list(range(21)), [1] * 21, [0] * 21, sets, 8)
+    assert max(r[3] for r in told) > 50 * (1 - ngram_join.RECALL)
+
+
 def base_by_hand(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     windows = [tuple(words[k : k + 5]) for k in range(len(words) - 4)]
