@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -12,12 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlake.llm.common import python_ready, table
-from reviewlake.session import pin
 
 #: Bytes of context at most.
 ORDER = 3
-#: Context nodes of the tree at most, the most frequent ones; this bounds the model that is broadcast.
-MAX_CONTEXTS = 4096
 #: Bytes scored at a time.
 SLICE = 1 << 20
 LETTER = regex.compile(r"\p{L}")
@@ -77,80 +75,93 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+@dataclass(frozen=True)
+class Order:
+    """Contexts of one length, as sorted arrays: escape bits of each, and bits of each gram (context and next byte)."""
+
+    contexts: np.ndarray
+    escapes: np.ndarray
+    grams: np.ndarray
+    bits: np.ndarray
+
+
+def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each wanted number stands, or would, in the sorted keys, and whether it does."""
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
 class Model:
-    """Frozen statistics: kept contexts, and for each context, next byte and language the code length in bits."""
-
-    def __init__(self, langs: list[str], contexts: list[tuple[int, int]], bits: np.ndarray):
-        self.langs, self.contexts, self.bits = langs, contexts, bits
-
-    def lookup(self) -> np.ndarray:
-        """Row of the longest kept context for each value of the last ORDER bytes."""
-        rows = np.zeros((256, 256, 256), dtype=np.uint16)
-        for row, (order, context) in enumerate(self.contexts):
-            a, b, c = context >> 16, (context >> 8) & 255, context & 255
-            if order == 1:
-                rows[:, :, c] = row
-            elif order == 2:
-                rows[:, b, c] = row
-            elif order == 3:
-                rows[a, b, c] = row
-        return rows.reshape(-1)
-
-    def lengths(self, lookup: np.ndarray, texts: list[bytes]) -> np.ndarray:
+    """Frozen statistics: code lengths in bits for every context and gram that was learned, under each language."""
+
+    def __init__(self, langs: list[str], orders: list[Order]):
+        self.langs, self.orders = langs, orders
+
+    @property
+    def contexts(self) -> list[tuple[int, int]]:
+        return [(k, c) for k, order in enumerate(self.orders) for c in order.contexts.tolist()]
+
+    def lookup(self) -> list[Order]:
+        """The tables to search, longest contexts first."""
+        return self.orders[::-1]
+
+    def lengths(self, lookup: list[Order], texts: list[bytes]) -> np.ndarray:
         """Bits of each non-empty text under each language."""
         data, context, starts = _laid_out(texts)
         out = np.zeros((len(texts), len(self.langs)))
         for at in range(0, len(data), SLICE):
             part = slice(at, at + SLICE)
-            cells = lookup[context[part]].astype(np.int64) * 256 + data[part]
-            bits = self.bits[cells]
+            grams = (context[part] << np.uint32(8)) | data[part]
+            bits = np.zeros((len(grams), len(self.langs)), dtype=np.float32)
+            left = np.arange(len(grams))
+            for k, order in zip(range(ORDER, -1, -1), lookup, strict=True):
+                wanted = grams[left] & np.uint32((1 << (8 * (k + 1))) - 1)
+                row, known = _found(order.grams, wanted)
+                bits[left[known]] += order.bits[row[known]]
+                left = left[~known]
+                row, known = _found(order.contexts, wanted[~known] >> np.uint32(8))
+                bits[left[known]] += order.escapes[row[known]]
+            bits[left] += 8.0
             low = np.searchsorted(starts, at, side="right") - 1
-            high = np.searchsorted(starts, at + len(cells), side="left")
+            high = np.searchsorted(starts, at + len(grams), side="left")
             cuts = np.maximum(starts[low:high] - at, 0)
             out[low:high] += np.add.reduceat(bits, cuts, axis=0, dtype=np.float64)
         return out
 
 
-def build_model(langs: list[str], rows: list[tuple[int, int, str, int, int]]) -> Model:
-    """Code lengths from counts (order, context, lang, byte, n), shorter contexts included.
+def build_model(langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
+    """Code lengths from counts of grams of ORDER + 1 bytes; `lang` is the place in `langs`. All contexts are kept.
 
     A context that a language has seen n times before d different bytes gives a byte seen c times the probability
     c / (n + d); any other byte costs the escape d / (n + d) and is coded in the context shortened by its oldest
     byte. A context the language never saw passes on at no cost. Below the empty context all bytes are equal.
     """
-    contexts = sorted({(order, context) for order, context, *_ in rows} | {(0, 0)})
-    row_of = {c: i for i, c in enumerate(contexts)}
-    counts = np.zeros((len(contexts), 256, len(langs)))
-    which = {lang: i for i, lang in enumerate(langs)}
-    for order, context, lang, byte, n in rows:
-        counts[row_of[order, context], byte, which[lang]] = n
-    bits = np.zeros_like(counts)
-    for i, (order, context) in enumerate(contexts):
-        shorter = bits[row_of[order - 1, context & ((1 << (8 * (order - 1))) - 1)]] if order else np.full_like(bits[0], 8.0)
-        n, d = counts[i].sum(axis=0), (counts[i] > 0).sum(axis=0)
+    orders: list[Order] = []
+    for k in range(ORDER + 1):
+        grams, row = np.unique((gram & ((1 << (8 * (k + 1))) - 1)).astype(np.uint32), return_inverse=True)
+        counts = np.zeros((len(grams), len(langs)))
+        np.add.at(counts, (row, lang), n)
+        contexts, first, of = np.unique(grams >> np.uint32(8), return_index=True, return_inverse=True)
+        total, kinds = np.add.reduceat(counts, first), np.add.reduceat(counts > 0, first, dtype=np.int64)
         with np.errstate(divide="ignore", invalid="ignore"):
-            seen = -np.log2(counts[i] / (n + d))
-            escape = np.where(n > 0, -np.log2(d / (n + d)), 0.0) + shorter
-        bits[i] = np.where(counts[i] > 0, seen, escape)
-    return Model(langs, contexts, bits.reshape(-1, len(langs)).astype(np.float32))
+            escapes = np.where(total > 0, -np.log2(kinds / (total + kinds)), 0.0)
+            seen = -np.log2(counts / (total + kinds)[of])
+        if k:
+            shorter = orders[-1].bits[_found(orders[-1].grams, grams & np.uint32((1 << (8 * k)) - 1))[0]]
+        else:
+            shorter = np.full(counts.shape, 8.0)
+        orders.append(Order(contexts, escapes, grams, np.where(counts > 0, seen, escapes[of] + shorter)))
+    small = [Order(o.contexts, o.escapes.astype(np.float32), o.grams, o.bits.astype(np.float32)) for o in orders]
+    return Model(langs, small)
 
 
 def learn(labelled: DataFrame) -> Model | None:
-    """Count all of `labelled`, keep the most frequent contexts of at most ORDER bytes, and freeze code lengths."""
-    grams = pin(gram_counts(labelled))
-    orders = F.explode(F.array(*(F.lit(k) for k in range(ORDER + 1)))).alias("order")
-    context = F.expr("(gram div 256) & (shiftleft(CAST(1 AS bigint), 8 * order) - 1)")
-    by_order = grams.select("lang", "n", "gram", orders).select(
-        "lang", "n", "order", context.alias("context"), (F.col("gram") % 256).alias("byte")
-    )
-    kept = (
-        by_order.groupBy("order", "context").agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "order", "context").limit(MAX_CONTEXTS).select("order", "context")
-    )
-    cells = by_order.join(F.broadcast(kept), ["order", "context"]).groupBy("order", "context", "lang", "byte").agg(F.sum("n").alias("n"))
-    rows = [tuple(r) for r in cells.toPandas().itertuples(index=False)]
-    langs = sorted({r[2] for r in rows})
-    return build_model(langs, rows) if rows else None
+    """Count all of `labelled` and freeze code lengths for every context of at most ORDER bytes that occurs in it."""
+    counted = gram_counts(labelled).toArrow()
+    if not counted.num_rows:
+        return None
+    langs, lang = np.unique(counted["lang"].to_numpy().astype(str), return_inverse=True)
+    return build_model(langs.tolist(), lang, counted["gram"].to_numpy(), counted["n"].to_numpy())
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:

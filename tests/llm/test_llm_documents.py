@@ -332,6 +332,17 @@ def test_code_lengths_and_languages(spark):
             assert abs(bits - ppm_by_hand(contexts, counts, text.encode())) < 1e-3
 
 
+def test_every_context_of_a_small_language_is_kept(spark):
+    rnd = random.Random(12)
+    rows = [(i, "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz ", k=4000)), "big") for i in range(40)]
+    small = "éñüç βγδ"
+    rows.append((99, small, "tiny"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    raws = [b"\0" * 3 + t.encode() for _, t, _ in rows]
+    wanted = {(k, int.from_bytes(raw[at - k : at], "big")) for raw in raws for at in range(3, len(raw)) for k in range(4)}
+    assert len(wanted) > 4096 and set(lang_id.learn(df).contexts) == wanted
+
+
 def repeats_by_hand(rows):
     key = lambda d: 2**63 if d is None else d
     owner = {}
