@@ -266,3 +266,29 @@ def test_registry_moves_only_to_known_versions(spark, tmp_path):
     assert registry.champion_version() == 1
     rows = registry.overview().collect()
     assert [(r["version"], r["f1_macro"], r["aliases"]) for r in rows] == [(2, None, ""), (1, 0.8, "champion")]
+
+
+def test_model_bench_judges_each_family_at_its_own_threshold(spark):
+    words = Vectorizer(analyzer="word", ngram_range=(1, 1), min_df=1, max_features=50)
+
+    def fit(train, settings):
+        return lambda rows: rows.withColumn("proba_negative", F.when(F.col("label") == 0, 0.44).otherwise(0.36))
+
+    settings = training.FitSettings(vectorizer=words, folds=2)
+    rows = training.model_bench(clean_frame(spark), settings, [training.Candidate("low", fit, words)]).collect()
+    assert [(r.candidate, r.fold, r.f1_macro, r.roc_auc) for r in rows] == [("low", 0, 1.0, 1.0), ("low", 1, 1.0, 1.0)]
+
+
+def test_model_queries_run_the_operators_defaults(monkeypatch):
+    from verification import queries
+
+    asked = []
+    for name in ("silver", "pin", "portable"):
+        monkeypatch.setattr(queries, name, lambda *a: a[0])
+    monkeypatch.setattr(queries.metrics, "fold_statistics", lambda folds: folds)
+    monkeypatch.setattr(queries.metrics, "rank_candidates", lambda folds: folds)
+    for name in ("train", "hyperparameter_grid", "model_bench"):
+        monkeypatch.setattr(queries.training, name, lambda *a, name=name, **k: (asked.append((name, a, k)), None))
+    for query in (queries.logreg_train, queries.hyperparameter_grid, queries.model_bench):
+        query("clean", "dir")
+    assert asked == [(name, ("clean",), {}) for name in ("train", "hyperparameter_grid", "model_bench")]

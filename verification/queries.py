@@ -13,7 +13,7 @@ from reviewlake.functions.decision import label_name
 from reviewlake.functions.pseudonym import pseudonym
 from reviewlake.functions.text import analyze, clean_text, term_counts
 from reviewlake.operators import drift, explain, gold, metrics, quality, registry, serving, training
-from reviewlake.operators.features import CHAR_TERMS, Vectorizer, term_statistics, tfidf, with_terms
+from reviewlake.operators.features import CHAR_TERMS, term_statistics, tfidf, with_terms
 from reviewlake.operators.scoring import scored_reviews
 from reviewlake.operators.selection import stratified_folds, stratified_split
 from reviewlake.operators.silver import latest_per_review
@@ -681,37 +681,21 @@ def ingest_twice(spark, sf_dir):
     )
 
 
-SMALL_FIT = training.FitSettings(
-    vectorizer=Vectorizer(analyzer="char_wb", ngram_range=(2, 3), min_df=2, max_features=20_000),
-    max_iter=30,
-    folds=3,
-)
-
-
 @query
 def logreg_train(spark, sf_dir):
-    _, row = training.train(pin(silver(spark, sf_dir)), SMALL_FIT)
+    _, row = training.train(pin(silver(spark, sf_dir)))
     return portable(row)
 
 
 @query
 def hyperparameter_grid(spark, sf_dir):
-    settings = dataclasses.replace(
-        SMALL_FIT, vectorizer=SINGLE_WORDS, folds=2, max_iter=20
-    )
-    folds = training.hyperparameter_grid(
-        pin(silver(spark, sf_dir)), cs=(1.0, 10.0), ngram_ranges=((1, 1),), max_features=(2_000,), base=settings
-    )
+    folds = training.hyperparameter_grid(pin(silver(spark, sf_dir)))
     return metrics.rank_candidates(metrics.fold_statistics(folds))
 
 
 @query
 def model_bench(spark, sf_dir):
-    words = dataclasses.replace(SINGLE_WORDS, max_features=2_000)
-    families = training.candidates(char=words, word=words, trees=10)
-    families = [dataclasses.replace(f, hashed=f.hashed and 32) for f in families]
-    settings = dataclasses.replace(SMALL_FIT, folds=2, max_iter=20)
-    folds = training.model_bench(pin(silver(spark, sf_dir)), settings, families)
+    folds = training.model_bench(pin(silver(spark, sf_dir)))
     return metrics.rank_candidates(metrics.fold_statistics(folds))
 
 
