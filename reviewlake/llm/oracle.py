@@ -60,10 +60,28 @@ cut AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_sp
 SELECT doc_id, length(x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
   sha256(unhex(coalesce(head, '') || substr(x, 2 * coalesce(tail, 0) + 1))) AS kept_sha256 FROM h LEFT JOIN cut USING (doc_id)"""
 
+MIX = r"""WITH sized AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY source, doc_id, size) - 1 AS nth FROM sized),
+per AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM sized GROUP BY source),
+weighed AS (SELECT *, CASE rank % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight, source_size * 2.0::DOUBLE AS cap FROM per),
+filled AS (SELECT *, cap / weight AS bound, coalesce(sum(cap) OVER w, 0) AS caps, coalesce(sum(weight) OVER w, 0) AS weights,
+  sum(source_size) OVER () AS words, sum(weight) OVER () AS whole
+  FROM weighed WINDOW w AS (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+water AS (SELECT max((1.5::DOUBLE * words - caps) / (whole - weights)) AS level FROM filled WHERE (1.5::DOUBLE * words - caps) / (whole - weights) <= bound),
+aimed AS (SELECT source, source_size, least(cap, level * weight) AS target FROM filled, water),
+items AS (SELECT n.*, source_size, target, use, nth // 1000 AS block,
+  md5(concat_ws(':', use, coalesce(CAST(doc_id AS VARCHAR), 'null'), size, nth // 1000)) AS shuffled
+  FROM numbered n JOIN aimed a ON n.source IS NOT DISTINCT FROM a.source, (SELECT unnest([0, 1]) AS use)),
+queued AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY use, shuffled, doc_id, size, nth
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM items)
+SELECT doc_id, size, source_size, target, CAST(sum(greatest(least(size, CAST(floor(target) AS BIGINT) - before), 0)) AS BIGINT) AS taken
+FROM queued GROUP BY doc_id, source, size, nth, source_size, target"""
+
 ORACLES = {
     "op1_chat": CHAT,
     "op2_sharding": SHARDS,
     "op3_ngram_join": SIMILAR,
     "op4_warc": ARCHIVE,
     "op9_suffix_dedup": REPEATS,
+    "op13_fair_mix": MIX,
 }

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from reviewlake.llm.bpe import op6_bpe
 from reviewlake.llm.chat import op1_chat
 from reviewlake.llm.decontaminate import op10_decontamination
+from reviewlake.llm.fair_mix import op13_fair_mix
 from reviewlake.llm.lang_id import op8_language_id
 from reviewlake.llm.ngram_join import op3_ngram_join
 from reviewlake.llm.oracle import ORACLES
@@ -15,7 +16,7 @@ from reviewlake.llm.quality_rules import op5_quality_rules
 from reviewlake.llm.sharding import op2_sharding
 from reviewlake.llm.suffix_dedup import op9_suffix_dedup
 from reviewlake.llm.warc import op4_warc
-
+from reviewlake.llm.whitening import op12_whitening
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +36,8 @@ OPERATORS = (
     op8_language_id,
     op9_suffix_dedup,
     op10_decontamination,
+    op12_whitening,
+    op13_fair_mix,
 )
 
 __all__ = ["ORACLES", "QUERIES"]
