@@ -77,11 +77,72 @@ queued AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY use,
 SELECT doc_id, size, source_size, target, CAST(sum(greatest(least(size, CAST(floor(target) AS BIGINT) - before), 0)) AS BIGINT) AS taken
 FROM queued GROUP BY doc_id, source, size, nth, source_size, target"""
 
+def _add(state: int, cost: str, edits: str) -> str:
+    """A state of the accumulator `a` with a cost and edits more; null stays null."""
+    return f"CASE WHEN a.m[{state}] IS NULL THEN NULL ELSE {{'c': a.m[{state}].c + {cost}, 'e': a.m[{state}].e || {edits}}} END"
+
+
+def _repair() -> str:
+    insert = (
+        "a.m[1], a.m[2], "
+        f"list_min([a.m[3], {_add(1, '3', chr(39) + 'I' + chr(39))}, {_add(2, '3', chr(39) + 'I' + chr(39))}, {_add(4, '3', chr(39) + 'I' + chr(39))}]), "
+        f"list_min([a.m[4], {_add(1, '6', chr(39) + 'II' + chr(39))}, {_add(2, '6', chr(39) + 'II' + chr(39))}, {_add(3, '3', chr(39) + 'I' + chr(39))}])"
+    )
+    gone = [_add(n, "4", "'D'") for n in (1, 2, 3, 4)]
+    turn = {r: (f"b.t + CASE WHEN b.r = '{r}' THEN 0 ELSE 3 END", f"CASE WHEN b.r = '{r}' THEN 'K' ELSE 'R' END") for r in "ua"}
+    kept = (
+        f"{gone[0]}, list_min([{gone[1]}, CASE WHEN b.r = 's' THEN {_add(1, 'b.t', chr(39) + 'K' + chr(39))} END]), "
+        f"list_min([{gone[2]}, {_add(1, *turn['u'])}, {_add(2, *turn['u'])}, {_add(4, *turn['u'])}]), "
+        f"list_min([{gone[3]}, {_add(3, *turn['a'])}])"
+    )
+    held = "{'k': b.k, 'r': b.r, 't': b.t, 'm': [%s]}"
+    step = f"CASE b.k WHEN 'i' THEN {held % insert} WHEN 'x' THEN {held % ', '.join(gone)} ELSE {held % kept} END"
+    none = "CAST(NULL AS STRUCT(c BIGINT, e VARCHAR)[])"
+    return rf"""WITH bits AS (SELECT list(v ORDER BY i) AS tab FROM (
+  SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+  FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i))),
+placed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, [CAST(4294967295 AS BIGINT)] ||
+  list_transform(regexp_extract_all(hex(encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))), '..'),
+  lambda h: CAST('0x' || h AS BIGINT)) AS codes FROM conversations),
+hit AS (SELECT conv_id, turn, role, text,
+  xor(list_reduce(codes, lambda a, x: xor(a >> 8, tab[(xor(a, x) & 255) + 1])), 4294967295) % 20 AS hit FROM placed, bits),
+hurt AS (SELECT conv_id, turn, CASE hit WHEN 4 THEN 'user' ELSE role END AS role,
+  CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(CASE hit WHEN 3 THEN [0, 1] ELSE [0] END) AS again FROM hit WHERE hit <> 0),
+laid AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), again) AS n FROM hurt),
+judged AS (SELECT *, substr(role, 1, 1) AS letter, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+  WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' END AS fault FROM laid),
+adjacent AS (SELECT *, lag(letter) OVER (PARTITION BY conv_id ORDER BY n) || letter AS two FROM judged),
+steps AS (SELECT conv_id, [{{'k': '', 'r': '', 't': 0, 'm': [{{'c': CAST(0 AS BIGINT), 'e': ''}}, NULL, NULL, NULL]}}] || flatten(list([
+  {{'k': 'i', 'r': '', 't': 0, 'm': {none}}},
+  {{'k': CASE WHEN fault IN ('blank', 'duplicate') THEN 'x' ELSE 'r' END, 'r': letter, 't': CASE fault WHEN 'truncated' THEN 3 ELSE 0 END, 'm': {none}}}]
+  ORDER BY n)) || [{{'k': 'i', 'r': '', 't': 0, 'm': {none}}}] AS s FROM judged GROUP BY conv_id),
+ends AS (SELECT conv_id, list_reduce(s, lambda a, b: {step}).m AS m FROM steps),
+best AS (SELECT conv_id, list_min([m[1], m[4]]) AS b FROM ends),
+edits AS (SELECT conv_id, b.e AS audit, unnest(range(1, length(b.e) + 1)) AS p, substr(b.e, p, 1) AS edit FROM best),
+walked AS (SELECT *, count(*) FILTER (edit <> 'I') OVER w AS n, count(*) FILTER (edit <> 'D') OVER w AS o
+  FROM edits WINDOW w AS (PARTITION BY conv_id ORDER BY p)),
+kept AS (SELECT w.conv_id, w.p, w.o, w.edit, j.role, CASE w.edit WHEN 'I' THEN '' ELSE j.text END AS text,
+  max(CASE WHEN w.o = 1 AND w.edit = 'K' AND j.letter = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY w.conv_id) AS system
+  FROM walked w LEFT JOIN judged j ON w.conv_id IS NOT DISTINCT FROM j.conv_id AND w.n = j.n WHERE w.edit <> 'D'),
+repaired AS (SELECT conv_id, sha256(string_agg(CASE WHEN edit = 'K' THEN role WHEN (o - system) % 2 = 1 THEN 'user' ELSE 'assistant' END
+  || ':' || text, chr(10) ORDER BY p)) AS repaired_sha256 FROM kept GROUP BY conv_id),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+  count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+  count(*) FILTER (two NOT IN ('su', 'ua', 'au')) AS illegal FROM adjacent GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(b.c, 0) AS cost, coalesce(b.e, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN counts k ON c.conv_id IS NOT DISTINCT FROM k.conv_id
+  LEFT JOIN best ON c.conv_id IS NOT DISTINCT FROM best.conv_id LEFT JOIN repaired r ON c.conv_id IS NOT DISTINCT FROM r.conv_id"""
+
+
 ORACLES = {
     "op1_chat": CHAT,
     "op2_sharding": SHARDS,
     "op3_ngram_join": SIMILAR,
     "op4_warc": ARCHIVE,
     "op9_suffix_dedup": REPEATS,
+    "op11_structure_repair": _repair(),
     "op13_fair_mix": MIX,
 }

@@ -14,6 +14,7 @@ from reviewlake.llm.oracle import ORACLES
 from reviewlake.llm.pii import op7_pii
 from reviewlake.llm.quality_rules import op5_quality_rules
 from reviewlake.llm.sharding import op2_sharding
+from reviewlake.llm.structure import op11_structure_repair
 from reviewlake.llm.suffix_dedup import op9_suffix_dedup
 from reviewlake.llm.warc import op4_warc
 from reviewlake.llm.whitening import op12_whitening
@@ -36,6 +37,7 @@ OPERATORS = (
     op8_language_id,
     op9_suffix_dedup,
     op10_decontamination,
+    op11_structure_repair,
     op12_whitening,
     op13_fair_mix,
 )
