@@ -8,9 +8,9 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
-from reviewlake.functions.text import analyze, term_counts
+from reviewlake.functions.text import analyzed_counts
 from reviewlake.operators.selection import keys_at_ranks
-from reviewlake.session import pin
+from reviewlake.session import pin, ship_package
 
 BROADCASTABLE_TERMS = 1_000_000  # a vocabulary capped at this size is safe to broadcast
 
@@ -25,7 +25,7 @@ class Vectorizer:
     max_features: int | None = 100_000
 
     def counts(self, text: Column) -> Column:
-        return term_counts(analyze(text, self.analyzer, self.ngram_range))
+        return analyzed_counts(text, self.analyzer, self.ngram_range)
 
 
 CHAR_TERMS = Vectorizer()
@@ -35,6 +35,8 @@ WORD_TERMS = Vectorizer(analyzer="word", ngram_range=(1, 2), max_features=BROADC
 
 def with_terms(df: DataFrame, vectorizer: Vectorizer, text: str = "review_text") -> DataFrame:
     """Add ``terms array<struct<term, tf>>``; counting happens inside the row."""
+    if vectorizer.analyzer == "char_wb":
+        ship_package(df.sparkSession)
     return df.withColumn("terms", vectorizer.counts(F.col(text)))
 
 
@@ -65,26 +67,33 @@ def term_statistics(docs: DataFrame, vectorizer: Vectorizer, **extra: Column) ->
     if cap is None:
         return counted
     counted = pin(counted)
+    return counted.filter(above_cap(counted, cap))
+
+
+def above_cap(counted: DataFrame, cap: int, cf: str = "cf") -> Column:
+    """The condition that a counted term is among the ``cap`` most frequent ones.
+
+    Terms above the frequency at which the cap is reached are kept whole; the ties at that frequency
+    are taken in the order of their digest. Nothing is sorted as a whole.
+    """
     if counted.count() <= cap:
-        return counted
-    downward = Window.orderBy(F.col("cf").desc()).rowsBetween(Window.unboundedPreceding, 0)
+        return F.lit(True)
+    downward = Window.orderBy(F.col(cf).desc()).rowsBetween(Window.unboundedPreceding, 0)
     edge = (
-        counted.groupBy("cf")
+        counted.groupBy(cf)
         .agg(F.count("*").alias("n"))
         .withColumn("upto", F.sum("n").over(downward))
         .filter(F.col("upto") >= cap)
-        .orderBy(F.col("cf").desc())
+        .orderBy(F.col(cf).desc())
         .first()
     )
     wanted = cap - (edge["upto"] - edge["n"])
     digest = F.sha2("term", 256)
-    tied = counted.filter(F.col("cf") == edge["cf"]).select(digest.alias("digest"))
+    tied = counted.filter(F.col(cf) == edge[cf]).select(digest.alias("digest"))
     last = keys_at_ranks(
         tied, [F.substring("digest", 1, 4)], ["digest"], {"last": lambda n: F.lit(wanted)}
     ).first()["digest"]
-    return counted.filter(
-        (F.col("cf") > edge["cf"]) | ((F.col("cf") == edge["cf"]) & (digest <= last))
-    )
+    return (F.col(cf) > edge[cf]) | ((F.col(cf) == edge[cf]) & (digest <= last))
 
 
 def smoothed_idf(documents: Column, document_frequency: Column) -> Column:

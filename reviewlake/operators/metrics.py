@@ -58,41 +58,44 @@ def classification_metrics(scored: DataFrame, by: Sequence[str] = ()) -> DataFra
     return counts.select(*by, "n_rows", *[v.alias(k) for k, v in named.items()])
 
 
-def roc_auc(scored: DataFrame, score: str = "proba_negative", label: str = "label") -> DataFrame:
+def roc_auc(scored: DataFrame, score: str = "proba_negative", label: str = "label", by: Sequence[str] = ()) -> DataFrame:
     """Area under the ROC curve with the negative class as the event; ties count one half.
 
     For each score: how many positives lie below it. The count is a sum of prefix sums, one per level
     of nested cells, so no window covers more than the cells below one cell.
     """
     negative = F.col(label) == LABEL_NEGATIVE
-    counted = scored.groupBy(F.col(score).alias("score")).agg(
+    counted = scored.groupBy(*by, F.col(score).alias("score")).agg(
         F.count_if(negative).alias("neg"), F.count_if(~negative).alias("pos")
     )
     names = ["cell_0", "cell_1", "cell_2", "cell_3"]
     placed = counted.withColumns(dict(zip(names, number_cells(F.col("score")))))
-    levels = [placed.groupBy(*names).agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))]
+    levels = [placed.groupBy(*by, *names).agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))]
     for depth in range(len(names) - 1, 0, -1):
-        finer = levels[0].groupBy(*names[:depth])
+        finer = levels[0].groupBy(*by, *names[:depth])
         levels.insert(0, finer.agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")))
     by_coarse, won = levels[0], None
     for depth, level in enumerate(levels):
         below = (
-            Window.partitionBy(*names[:depth])
+            Window.partitionBy(*by, *names[:depth])
             .orderBy(names[depth])
             .rowsBetween(Window.unboundedPreceding, -1)
         )
         gained = F.col("neg").cast("double") * F.coalesce(F.sum("pos").over(below), F.lit(0))
         if depth == len(levels) - 1:  # one score per cell: ties
             gained = gained + F.col("neg").cast("double") * F.col("pos") / 2
-        part = level.select(gained.alias("won"))
+        part = level.select(*by, gained.alias("won"))
         won = part if won is None else won.unionByName(part)
-    won = won.agg(F.sum("won").alias("won"))
-    totals = by_coarse.agg(F.sum("neg").alias("n_neg"), F.sum("pos").alias("n_pos"))
+    won = won.groupBy(*by).agg(F.sum("won").alias("won"))
+    totals = by_coarse.groupBy(*by).agg(F.sum("neg").alias("n_neg"), F.sum("pos").alias("n_pos"))
     possible = F.col("n_neg").cast("double") * F.col("n_pos")
-    return totals.select(
+    gains = F.col("won") if by else won.scalar()
+    both = totals.join(won, by) if by else totals
+    return both.select(
+        *by,
         "n_neg",
         "n_pos",
-        F.when(possible > 0, won.scalar() / possible).alias("roc_auc"),
+        F.when(possible > 0, gains / possible).alias("roc_auc"),
     )
 
 

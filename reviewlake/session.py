@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -75,6 +77,20 @@ def release_pins(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package, once per application, before functions of it run in their Python workers."""
+    context = spark.sparkContext
+    if getattr(context, "_ships_reviewlake", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="reviewlake-")) / "reviewlake.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, f"{package.name}/{file.relative_to(package)}")
+    context.addPyFile(str(archive))
+    context._ships_reviewlake = True
+
+
 def parallelism(spark: SparkSession) -> int:
     """The number of groups a hot key is spread over."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -564,6 +564,17 @@ def all_oracles() -> dict[str, str]:
           count(*) FILTER (sample_source = 'negative_boost') AS data_boost_rows,
           CAST(sum(CAST(('0x' || substr(sha256(review_id || '|' || label || '|' || epoch_us(created_at) || '|' || review_text), 1, 15)) AS BIGINT)) AS VARCHAR)
             AS data_hash FROM silver""",
+        "logreg_train": f"""WITH {_SILVER}, ranked AS (SELECT label, rk <= round(0.2 * n) AS test FROM ({_NATURAL_RANK}))
+          SELECT (SELECT count(*) FILTER (NOT test) FROM ranked) + count(*) FILTER (sample_source = 'negative_boost') AS n_train,
+          (SELECT count(*) FILTER (test) FROM ranked) AS n_test,
+          round((SELECT count(*) FILTER (test AND label = 0) / count(*) FILTER (test) FROM ranked), 6) AS negative_share,
+          count(*) AS data_rows, count(*) FILTER (sample_source = 'natural') AS data_natural_rows,
+          count(*) FILTER (sample_source = 'negative_boost') AS data_boost_rows, min(created_at) AS data_first_review,
+          max(created_at) AS data_last_review, true AS converged, true AS beats_chance FROM silver""",
+        "hyperparameter_grid": """SELECT 'C=' || c || ' ngram=' || g || ' features=' || f AS candidate, CAST(5 AS BIGINT) AS n_folds, true AS above_floor
+          FROM (SELECT unnest(['1', '4', '10']) AS c), (SELECT unnest(['2-4', '2-5']) AS g), (SELECT unnest(['50000', '100000']) AS f)""",
+        "model_bench": """SELECT unnest(['logistic_char', 'linear_svm', 'ridge', 'complement_bayes', 'logistic_word', 'random_forest',
+          'boosted_trees']) AS candidate, CAST(5 AS BIGINT) AS n_folds, true AS above_floor""",
         "promotion_history": f"""WITH {_RUNS} SELECT run_id, app_id, day, round(f1_macro, 6) AS f1_macro,
           round(train_test_gap, 6) AS train_test_gap, round(champion_f1, 6) AS champion_f1, promoted FROM history""",
         "alias_current": f"WITH {_RUNS} SELECT alias, version FROM aliases",

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewlake.functions.decision import label_name
 from reviewlake.functions.pseudonym import pseudonym
-from reviewlake.functions.text import analyze, clean_text, term_counts
+from reviewlake.functions.text import analyzed_counts, clean_text
 from reviewlake.operators import drift, explain, gold, metrics, quality, registry, serving, training
 from reviewlake.operators.features import CHAR_TERMS, term_statistics, tfidf, with_terms
 from reviewlake.operators.scoring import scored_reviews
@@ -390,8 +390,8 @@ def frequent_terms(spark, sf_dir):
 
 @query
 def word_bigrams(spark, sf_dir):
-    tokens = analyze(F.col("review_text"), "word", (1, 2))
-    counted = silver(spark, sf_dir).select("review_id", term_counts(tokens).alias("terms"))
+    counts = analyzed_counts(F.col("review_text"), "word", (1, 2))
+    counted = silver(spark, sf_dir).select("review_id", counts.alias("terms"))
     return counted.select(
         "review_id",
         F.aggregate("terms", F.lit(0).cast("long"), lambda a, t: a + t["tf"]).alias("n_terms"),
@@ -683,20 +683,31 @@ def ingest_twice(spark, sf_dir):
 
 @query
 def logreg_train(spark, sf_dir):
+    """Trained with the defaults: what the run was fed with, and whether it converged and beats chance."""
     _, row = training.train(pin(silver(spark, sf_dir)))
-    return portable(row)
+    told = row.select(
+        "n_train", "n_test", "negative_share", "data_rows", "data_natural_rows", "data_boost_rows", "data_first_review",
+        "data_last_review",
+        (F.col("gradient") <= training.TOLERANCE).alias("converged"),
+        ((F.col("roc_auc") > 0.6) & (F.col("f1_macro") > 0.5)).alias("beats_chance"),
+    )
+    return rounded(portable(told), "negative_share")
+
+
+def ranked_folds(folds: DataFrame) -> DataFrame:
+    """Each candidate with the folds it was measured on, and whether its mean F1 is above a floor."""
+    measured = metrics.rank_candidates(metrics.fold_statistics(folds))
+    return measured.select("candidate", F.col("n_folds").cast("long").alias("n_folds"), (F.col("f1_mean") > 0.45).alias("above_floor"))
 
 
 @query
 def hyperparameter_grid(spark, sf_dir):
-    folds = training.hyperparameter_grid(pin(silver(spark, sf_dir)))
-    return metrics.rank_candidates(metrics.fold_statistics(folds))
+    return ranked_folds(training.hyperparameter_grid(pin(silver(spark, sf_dir))))
 
 
 @query
 def model_bench(spark, sf_dir):
-    folds = training.model_bench(pin(silver(spark, sf_dir)))
-    return metrics.rank_candidates(metrics.fold_statistics(folds))
+    return ranked_folds(training.model_bench(pin(silver(spark, sf_dir))))
 
 
 def all_queries() -> dict[str, Query]:
