@@ -13,19 +13,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlake.llm.common import discard, forget_shuffles, python_ready, store, table, text_or_empty
-from reviewlake.session import parallelism, pin
+from reviewlake.session import pin
 
 #: Bytes of a passage that counts as repeated, and of the substrings whose hashes pick a minimizer.
 SPAN, KEY = 50, 16
 #: Bytes of strings in one suffix array, and different strings of a minimizer from which windows are dealt singly.
 BLOB, MANY = 4 << 20, 20_000
-#: Different strings whose owners a task gathers before it sends them on.
-COMBINED = 100_000
 #: Ends a string; no UTF-8 text holds this byte.
 END = 0xFF
 
@@ -159,28 +157,25 @@ def common_prefixes(order: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
     return np.minimum(out, SPAN)
 
 
-def first_owners(strings: list[bytes], owners: np.ndarray) -> list[np.ndarray]:
-    """For each string, the smallest owner of each of its windows among all strings given."""
-    text = np.frombuffer(b"".join(s + bytes([END]) for s in strings), dtype=np.uint8)
-    sizes = np.array([len(s) + 1 for s in strings])
-    which = np.repeat(np.arange(len(strings)), sizes)
-    left = np.cumsum(sizes)[which] - 1 - np.arange(len(text))
+def first_owners(data: np.ndarray, sizes: np.ndarray, owners: np.ndarray) -> np.ndarray:
+    """The smallest owner of each window among all strings given (laid end to end in `data`), string after string.
+
+    Each string has SPAN bytes or more, hence `size - SPAN + 1` windows.
+    """
+    which = np.repeat(np.arange(len(sizes)), sizes)
+    text = np.full(len(data) + len(sizes), END, dtype=np.uint8)
+    text[np.arange(len(data)) + which] = data
+    ends = np.cumsum(sizes + 1)
+    owner_of = np.repeat(np.arange(len(sizes)), sizes + 1)
+    left = ends[owner_of] - 1 - np.arange(len(text))
     order, words = suffix_array(text)
     order = order[left[order] >= SPAN]
     same = common_prefixes(order, words) >= SPAN
     heads = np.flatnonzero(~same)
-    low = np.minimum.reduceat(owners[which[order]], heads)
+    low = np.minimum.reduceat(owners[owner_of[order]], heads)
     best = np.zeros(len(text), dtype=np.int64)
     best[order] = np.repeat(low, np.diff(np.append(heads, len(order))))
-    starts = np.cumsum(sizes) - sizes
-    return [best[a : a + n - SPAN] for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
-
-
-def _spans(owners: np.ndarray) -> list[dict[str, int]]:
-    """Stretches of windows with one owner."""
-    starts = np.flatnonzero(np.concatenate(([True], owners[1:] != owners[:-1])))
-    ends = np.append(starts[1:], len(owners))
-    return [{"low": int(a), "high": int(b), "owner": int(owners[a])} for a, b in zip(starts, ends, strict=True)]
+    return best[left >= SPAN]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -229,104 +224,124 @@ def _shared_minimizers(keyed: DataFrame) -> DataFrame:
 def _strings(chosen: DataFrame) -> DataFrame:
     """m, h, s, owner, text_id, at: the strings under shared minimizers, where each text has them."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for data, marks, owner, text_id in zip(batch["data"], batch["marks"], batch["owner"], batch["text_id"], strict=True):
-                values, starts, ends = runs(_data(data))
-                kept = np.isin(values.astype(np.int64), np.asarray(marks, dtype=np.int64))
-                for m, a, b in zip(values[kept].astype(np.int64).tolist(), starts[kept].tolist(), ends[kept].tolist(), strict=True):
-                    s = bytes(data[a : b + SPAN - 1])
-                    h = xxhash.xxh64_intdigest(s)
-                    out.append((m, h - (1 << 64) if h >> 63 else h, s, owner, text_id, a))
-            for at in range(0, len(out), 20_000):
-                yield pd.DataFrame(out[at : at + 20_000], columns=["m", "h", "s", "owner", "text_id", "at"])
-
-    schema = "m long, h long, s binary, owner long, text_id long, at long"
-    return chosen.select("data", "marks", "owner", "text_id").mapInPandas(cut, schema)
+            if not batch.num_rows:
+                continue
+            marks = np.split(batch.column("marks").flatten().to_numpy(), batch.column("marks").offsets.to_numpy()[1:-1])
+            found, places, sizes, pieces = [], [], [], []
+            for data, own in zip(batch.column("data"), marks, strict=True):
+                data = np.frombuffer(data.as_buffer(), dtype=np.uint8)
+                values, starts, ends = runs(data)
+                values = values.astype(np.int64)
+                own = np.sort(own)
+                at = np.minimum(np.searchsorted(own, values), len(own) - 1)
+                kept = np.flatnonzero(own[at] == values) if len(own) else np.zeros(0, dtype=np.int64)
+                begin, size = starts[kept], ends[kept] - starts[kept] + (SPAN - 1)
+                found.append(values[kept])
+                places.append(begin)
+                sizes.append(size)
+                shift = np.cumsum(size) - size
+                pieces.append(data[np.repeat(begin - shift, size) + np.arange(int(size.sum()))])
+            rows = pa.array(np.repeat(np.arange(batch.num_rows), [len(f) for f in found]))
+            lengths = np.concatenate(sizes)
+            offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+            s = pa.BinaryArray.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(np.concatenate(pieces))])
+            columns = [pa.array(np.concatenate(found)), s, batch.column("owner").take(rows), batch.column("text_id").take(rows)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(places))], ["m", "s", "owner", "text_id", "at"])
+
+    schema = "m long, s binary, owner long, text_id long, at long"
+    cut_out = chosen.select("data", "marks", "owner", "text_id").mapInArrow(cut, schema)
+    return cut_out.select("m", F.xxhash64("s").alias("h"), "s", "owner", "text_id", "at")
+
+
+SPANS = "array<struct<low: long, high: long, owner: long>>"
 
 
 def _verdicts(strings: DataFrame) -> DataFrame:
     """m, h, base, spans: for each different string, who owns its windows from `base` on.
 
-    Each task gathers the owners of equal strings before the one exchange, so a passage that very many documents
-    hold arrives as a few rows. Strings that stand in one document only and own all their windows are left out.
+    Equal strings combine map-side into their smallest and largest owner, so a passage that very many documents hold
+    arrives as a few rows. A minimizer with one string needs no sorting: its smallest owner has all windows. Of a
+    minimizer with more than MANY different strings, windows are grouped singly, again combined map-side. The strings
+    of the others go through suffix arrays. Strings that nobody loses are left out.
     """
     spark = strings.sparkSession
-    crowded = strings.select("m", "h").distinct().groupBy("m").count()
-    crowded = pin(crowded.filter(F.col("count") > MANY).select("m", F.lit(True).alias("crowded")))
+    low, high = F.min("owner").alias("low"), F.max("owner").alias("high")
+    different = store(strings.groupBy("m", "h", "s").agg(low, high))
     forget_shuffles(spark)
-
-    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[tuple[int, int], list] = {}
-        for batch in batches:
-            if len(held) >= COMBINED:
-                yield _combined(held)
-                held = {}
-            for m, h, s, owner in zip(batch["m"].tolist(), batch["h"].tolist(), batch["s"], batch["owner"].tolist(), strict=True):
-                _note(held, (m, h), s, owner, owner)
-        yield _combined(held)
-
-    different = strings.select("m", "h", "s", "owner").mapInPandas(combine, "m long, h long, s binary, owner long, last long")
-    dealt = different.join(crowded, "m", "left")
-
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for row in batch.itertuples(index=False):
-                if row.crowded is not True:
-                    out.append((row.m, row.m, row.h, 0, row.s, row.owner, row.last))
-                    continue
-                for k in range(len(row.s) - SPAN + 1):
-                    window = row.s[k : k + SPAN]
-                    bucket = xxhash.xxh64_intdigest(window) >> 1
-                    out.append((bucket, row.m, row.h, k, window, row.owner, row.last))
-            yield pd.DataFrame(out, columns=["bucket", "m", "h", "base", "s", "owner", "last"])
-
-    schema = "bucket long, m long, h long, base long, s binary, owner long, last long"
-    buckets = dealt.select("m", "h", "s", "owner", "last", "crowded").mapInPandas(deal, schema)
-    buckets = buckets.repartition(parallelism(spark), "bucket").sortWithinPartitions("bucket")
-
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[tuple[int, int, int], list] = {}
-        size, bucket = 0, None
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                if row.bucket != bucket and size >= BLOB:
-                    yield _judged(held)
-                    held, size = {}, 0
-                bucket = row.bucket
-                if _note(held, (row.m, row.h, row.base), row.s, row.owner, row.last):
-                    size += len(row.s)
-        yield _judged(held)
-
-    return buckets.mapInPandas(judge, "m long, h long, base long, spans array<struct<low: long, high: long, owner: long>>")
-
-
-def _note(held: dict, key: tuple, s: bytes, owner: int, last: int) -> bool:
-    """Add the owners of a string to those already held; whether it is new."""
-    known = held.get(key)
-    if known is None:
-        held[key] = [bytes(s), owner, last]
-        return True
-    known[1], known[2] = min(known[1], owner), max(known[2], last)
-    return False
-
-
-def _combined(held: dict[tuple[int, int], list]) -> pd.DataFrame:
-    rows = [(m, h, s, owner, last) for (m, h), (s, owner, last) in held.items()]
-    return pd.DataFrame(rows, columns=["m", "h", "s", "owner", "last"])
-
-
-def _judged(held: dict[tuple[int, int, int], list]) -> pd.DataFrame:
-    out = []
-    if held:
-        owners = np.array([owner for _, owner, _ in held.values()], dtype=np.int64)
-        found = first_owners([s for s, _, _ in held.values()], owners)
-        for (m, h, base), (_, owner, last), first in zip(held, held.values(), found, strict=True):
-            if last > owner or (first < owner).any():
-                out.append((m, h, base, _spans(first)))
-    return pd.DataFrame(out, columns=["m", "h", "base", "spans"])
+    crowded = pin(different.groupBy("m").count().filter(F.col("count") > MANY).select("m"))
+    plain, by_window = different, None
+    if not crowded.isEmpty():
+        plain = different.join(crowded, "m", "left_anti")
+        by_window = _window_verdicts(different.join(crowded, "m"))
+    counted = plain.withColumn("n", F.count("*").over(Window.partitionBy("m")))
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("low"), (F.octet_length("s") - (SPAN - 1)).cast("long").alias("high"), F.col("low").alias("owner")))
+    settled = counted.filter((F.col("n") == 1) & (F.col("low") < F.col("high"))).select("m", "h", F.lit(0).cast("long").alias("base"), whole.alias("spans"))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size, last = 0, None
+        for batch in batches:  # ordered by m: a set of strings ends where m changes
+            if not batch.num_rows:
+                continue
+            m = batch.column("m").to_numpy()
+            if size >= BLOB:
+                upto = int(np.searchsorted(m != last, True)) if m[0] == last else 0
+                if upto < batch.num_rows:
+                    yield from _judged([*held, batch.slice(0, upto)])
+                    held, size, batch = [], 0, batch.slice(upto)
+            held.append(batch)
+            size, last = size + batch.column("s").nbytes, m[-1]
+        yield from _judged(held)
+
+    many = counted.filter("n > 1").select("m", "h", "s", "low", "high").sortWithinPartitions("m")
+    judged = many.mapInArrow(judge, f"m long, h long, base long, spans {SPANS}")
+    told = settled.unionByName(judged)
+    return told if by_window is None else told.unionByName(by_window)
+
+
+def _window_verdicts(strings: DataFrame) -> DataFrame:
+    """Verdicts on single windows, for minimizers with very many different strings around them.
+
+    The smallest owner of each window is combined map-side and joined back, so one window in any number of
+    surroundings spreads over tasks.
+    """
+    window = F.expr(f"substring(s, CAST(base AS int) + 1, {SPAN})")
+    each = strings.select("*", F.explode(F.expr(f"sequence(0L, octet_length(s) - {SPAN})")).alias("base"))
+    each = each.select("m", "h", "base", "low", "high", window.alias("w"))
+    first = each.groupBy("w").agg(F.min("low").alias("first"))
+    spans = F.array(F.struct(F.lit(0).cast("long").alias("low"), F.lit(1).cast("long").alias("high"), F.col("first").alias("owner")))
+    return each.join(first, "w").filter("first < high").select("m", "h", "base", spans.alias("spans"))
+
+
+def _judged(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Who owns the windows of a set of different strings, for those that some document loses."""
+    table_ = pa.Table.from_batches(held) if held else None
+    if table_ is None or not table_.num_rows:
+        return
+    s = table_.column("s").combine_chunks()
+    offsets = np.frombuffer(s.buffers()[1], dtype=np.int32)[s.offset : s.offset + len(s) + 1].astype(np.int64)
+    data = np.frombuffer(s.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]]
+    sizes = np.diff(offsets)
+    m, h, low, high = (table_.column(n).to_numpy() for n in ("m", "h", "low", "high"))
+    owner = first_owners(data, sizes, low)
+    windows = sizes - (SPAN - 1)
+    begin = np.cumsum(windows) - windows
+    lost = np.minimum.reduceat(owner, begin) < high
+    which = np.repeat(np.arange(len(sizes)), windows)
+    kept = lost[which]
+    owner, which, at = owner[kept], which[kept], (np.arange(len(owner)) - begin[which])[kept]
+    if not len(owner):
+        return
+    starts = np.flatnonzero(np.concatenate(([True], (which[1:] != which[:-1]) | (owner[1:] != owner[:-1]))))
+    ends = np.append(starts[1:], len(owner)) - 1
+    spans = pa.StructArray.from_arrays([pa.array(at[starts]), pa.array(at[ends] + 1), pa.array(owner[starts])], ["low", "high", "owner"])
+    per = np.concatenate(([0], np.cumsum(np.bincount(which[starts], minlength=len(sizes))[lost]))).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(per), spans)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(m[lost]), pa.array(h[lost]), pa.array(np.zeros(int(lost.sum()), dtype=np.int64)), lists], ["m", "h", "base", "spans"]
+    )
 
 
 def kept_bytes(data: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, bytes]:

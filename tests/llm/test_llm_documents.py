@@ -371,6 +371,17 @@ def test_repeats_go(docs, monkeypatch, many):
     assert counted(suffix_dedup.removed_repeats(docs), *columns) == repeats_by_hand(texts())
 
 
+@pytest.mark.parametrize("many", [20_000, 50])
+def test_one_passage_in_many_surroundings(spark, monkeypatch, many):
+    monkeypatch.setattr(suffix_dedup, "MANY", many)
+    rnd = random.Random(6)
+    passage = "this very passage stands in all the documents of this table, whatever is around it."
+    rows = [(k, f"{word(rnd)} {word(rnd)}{k} {passage} {k} {word(rnd)}") for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert counted(suffix_dedup.removed_repeats(df), *columns) == repeats_by_hand(rows)
+
+
 def test_suffixes_are_sorted_and_prefixes_measured():
     rnd = random.Random(9)
     for alphabet in ("a", "ab", "abc de"):
