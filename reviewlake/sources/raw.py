@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reviewlake.schemas import RAW_SCHEMA, SOURCE_NATURAL
 
@@ -54,17 +54,35 @@ def scan_raw(spark: SparkSession, paths: str | list[str]) -> RawScan:
     return split_raw(with_path_columns(lines, F.col("_metadata.file_path")))
 
 
+def decoded(value: Column) -> Column:
+    """Percent escapes undone; a value whose escapes are not valid is taken as it is."""
+    return F.coalesce(F.try_url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))), value)
+
+
+def path_value(path: Column, name: str) -> Column:
+    """The value of ``name=value`` in a file's path, null without one.
+
+    Spark escapes some characters when it names a folder, and the path of a file is handed out as a URI, which escapes
+    those of the folder again: values are decoded twice, after the path is cut at its slashes.
+    """
+    found = F.nullif(F.regexp_extract(path, f"/{name}=([^/]+)/", 1), F.lit(""))
+    value = decoded(decoded(found))
+    return F.nullif(value, F.lit(NO_VALUE))
+
+
+#: The folder value that stands for null or an empty string.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def with_path_columns(lines: DataFrame, path) -> DataFrame:
     """Partition values found in the path; they win over the fields of the review itself."""
     placed = lines.withColumn("source_file", path)
-    sample = F.regexp_extract("source_file", r"/sample=([^/]+)/", 1)
+    at = F.col("source_file")
     return placed.withColumns(
         {
             "app_id": F.expr("try_cast(regexp_extract(source_file, '/app_id=([0-9]+)/', 1) AS bigint)"),
-            "language": F.nullif(
-                F.regexp_extract("source_file", r"/language=([a-zA-Z]+)/", 1), F.lit("")
-            ),
-            "sample_source": F.coalesce(F.nullif(sample, F.lit("")), F.lit(SOURCE_NATURAL)),
+            "language": path_value(at, "language"),
+            "sample_source": F.coalesce(path_value(at, "sample"), F.lit(SOURCE_NATURAL)),
         }
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from reviewlake.schemas import RETENTION_DAYS, SOURCE_NATURAL
 from reviewlake.session import pin
-from reviewlake.sources.raw import RawScan
+from reviewlake.sources.raw import RawScan, path_value
 from reviewlake.sources.snapshots import _filesystem, folder_exists
 
 KEYS = ("sample_source", "app_id", "language", "recommendationid")
@@ -34,7 +34,10 @@ def new_reviews(incoming: DataFrame, seen: DataFrame) -> DataFrame:
     ]
     ranked = incoming.withColumn("_copy", F.row_number().over(Window.partitionBy(*KEYS).orderBy(*order)))
     latest = ranked.filter(F.col("_copy") == 1).drop("_copy")
-    return latest.join(seen.select(*KEYS), list(KEYS), "left_anti")
+    # only the key partitions that the batch names are read
+    places = latest.select(*KEYS[:3]).distinct()
+    known = seen.select(*KEYS).join(places, list(KEYS[:3]), "left_semi")
+    return latest.join(known, list(KEYS), "left_anti")
 
 
 class RawZone:
@@ -50,7 +53,7 @@ class RawZone:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.keys_path = f"{self.root}/_keys"
+        self.keys_path = f"{self.root}/keys"
 
     def seen(self) -> DataFrame:
         if not folder_exists(self.spark, self.keys_path):
@@ -59,18 +62,25 @@ class RawZone:
 
     def quarantine(self) -> DataFrame | None:
         """Everything set aside so far, with its reason and batch."""
-        path = f"{self.root}/_quarantine"
+        path = f"{self.root}/quarantine"
         return self.spark.read.parquet(path) if folder_exists(self.spark, path) else None
 
     def append(self, incoming: DataFrame | RawScan, batch: str, day: dt.date) -> int:
         """Store the new reviews of a batch, of any flow; returns how many, and writes no file for none.
 
+        Flows and languages may have any name that is not empty.
+
         A scan also hands over what it set aside, which is stored beside the lines.
         """
         if isinstance(incoming, RawScan):
             aside = incoming.quarantine
-            aside.write.mode("overwrite").parquet(f"{self.root}/_quarantine/batch={batch}")
+            aside.write.mode("overwrite").parquet(f"{self.root}/quarantine/batch={batch}")
             incoming = incoming.good
+        flow = F.coalesce(F.nullif("sample_source", F.lit("")), F.lit(SOURCE_NATURAL))
+        incoming = incoming.withColumn("sample_source", flow)
+        placeless = F.col("app_id").isNull() | (F.coalesce("language", F.lit("")) == "")
+        if not incoming.filter(placeless).isEmpty():
+            raise ValueError("reviews without app or language have no place in the zone; a scan sets them aside")
         seen = self.seen()
         fresh = pin(new_reviews(incoming, seen.filter(F.col("batch") != batch)))
         keys_folder = f"{self.keys_path}/batch={batch}"
@@ -117,11 +127,10 @@ class RawZone:
             return None
         lines = self.spark.read.schema("recommendationid string").json(folders)
         path = F.col("_metadata.file_path")
-        sample = F.nullif(F.regexp_extract(path, "/sample=([^/]+)/", 1), F.lit(""))
         return lines.select(
-            F.coalesce(sample, F.lit(SOURCE_NATURAL)).alias("sample_source"),
+            F.coalesce(path_value(path, "sample"), F.lit(SOURCE_NATURAL)).alias("sample_source"),
             F.regexp_extract(path, "/app_id=([0-9]+)/", 1).cast("long").alias("app_id"),
-            F.regexp_extract(path, "/language=([^/]+)/", 1).alias("language"),
+            path_value(path, "language").alias("language"),
             "recommendationid",
         )
 

@@ -38,7 +38,7 @@ class SnapshotTable:
         self.root = f"{lake.rstrip('/')}/{name.replace('.', '/')}"
 
     def log(self) -> DataFrame:
-        path = f"{self.root}/_log"
+        path = f"{self.root}/log"
         if not folder_exists(self.spark, path):
             return self.spark.createDataFrame([], LOG)
         return self.spark.read.schema(LOG).parquet(path)
@@ -54,7 +54,7 @@ class SnapshotTable:
 
     def _append_log(self, row: dict) -> None:
         self.spark.createDataFrame([row], LOG).coalesce(1).write.mode("append").parquet(
-            f"{self.root}/_log"
+            f"{self.root}/log"
         )
 
     def _next(self) -> tuple[int, int]:

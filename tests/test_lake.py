@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from reviewlake.schemas import ContractError
 from reviewlake.sources.raw import scan_raw
-from reviewlake.sources.raw_zone import BatchConflict, RawZone, purge_raw
+from reviewlake.sources.raw_zone import BatchConflict, RawZone, new_reviews, purge_raw
 from reviewlake.sources.snapshots import SnapshotGroup, SnapshotTable
 from reviewlake.streaming.ingest import stream_ingest
 
@@ -214,3 +214,42 @@ def test_tables_of_a_group_change_together(spark, tmp_path):
     with pytest.raises(Exception, match="midway"):
         group.overwrite({"fact": rows(spark, 10), "mart": broken})
     assert [group.read(n).agg(F.sum("value")).first()[0] for n in ("fact", "mart")] == [6, 6]
+
+
+@pytest.mark.parametrize("flow", ["other flow", "50% off", "a=b", "a+b", "été/日本", "x%20y", "[q]?"])
+def test_flows_of_any_name_are_stored_once(spark, tmp_path, review, flow):
+    zone = RawZone(spark, str(tmp_path / "raw"))
+    batch = incoming(spark, tmp_path, review, [1, 2]).withColumn("sample_source", F.lit(flow))
+    assert zone.append(batch, "b1", DAY) == 2
+    assert zone.append(batch, "b2", DAY) == 0
+    assert stored(spark, tmp_path / "raw") == [(flow, "1"), (flow, "2")]
+    assert {r["sample_source"] for r in zone.seen().collect()} == {flow}
+
+
+@pytest.mark.parametrize("language", ["zh-Hans", "pt_BR", "en US", "100%", "français", "a/b"])
+def test_languages_of_any_name_come_back(spark, tmp_path, review, language):
+    zone = RawZone(spark, str(tmp_path / "raw"))
+    batch = incoming(spark, tmp_path, review, [1, 2]).withColumn("language", F.lit(language))
+    assert zone.append(batch, "b1", DAY) == 2
+    scan = scan_raw(spark, str(tmp_path / "raw"))
+    assert [r["language"] for r in scan.good.collect()] == [language] * 2 and scan.quarantine.count() == 0
+    assert zone.append(batch, "b2", DAY) == 0
+
+
+def test_reviews_without_a_place_are_refused(spark, tmp_path, review):
+    zone = RawZone(spark, str(tmp_path / "raw"))
+    batch = incoming(spark, tmp_path, review, [1])
+    for column, value in (("language", ""), ("language", None), ("app_id", None)):
+        with pytest.raises(ValueError, match="no place"):
+            zone.append(batch.withColumn(column, F.lit(value).cast(batch.schema[column].dataType)), "b1", DAY)
+    assert zone.append(batch.withColumn("sample_source", F.lit(None).cast("string")), "b1", DAY) == 1
+    assert stored(spark, tmp_path / "raw") == [("natural", "1")]
+
+
+def test_only_named_key_partitions_are_read(spark, tmp_path, review):
+    zone = RawZone(spark, str(tmp_path / "raw"))
+    batch = incoming(spark, tmp_path, review, [1, 2])
+    zone.append(batch, "b1", DAY)
+    fresh = new_reviews(batch, zone.seen())
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower() and fresh.count() == 0

@@ -441,6 +441,15 @@ def all_oracles() -> dict[str, str]:
           QUALIFY row_number() OVER (PARTITION BY sample_source, app_id, language, rid ORDER BY coalesce(updated, created) DESC) = 1""",
         "ingest_twice": f"""WITH {_RAW}, k AS (SELECT count(DISTINCT (sample_source, app_id, language, rid)) AS n FROM raw)
           SELECT n AS n_keys, n AS n_distinct, n AS n_first, CAST(0 AS BIGINT) AS n_second FROM k""",
+        "ingest_names": f"""WITH {_RAW}, named AS (SELECT DISTINCT CASE sample_source WHEN 'natural' THEN 'natural' ELSE 'other flow = 50%+' END AS sample_source,
+          app_id, CASE language WHEN 'spanish' THEN 'zh-Hans' ELSE language END AS language, rid FROM raw)
+          SELECT sample_source, language, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_again FROM named GROUP BY ALL""",
+        "raw_quarantine": f"""WITH {_RAW} SELECT * FROM (SELECT CASE WHEN votes_up % 2 <> 0 THEN 'outside the partition layout' WHEN votes_up % 7 = 0 THEN 'missing id'
+          WHEN votes_up % 5 = 0 THEN 'missing creation time' WHEN votes_up % 3 = 0 THEN 'missing vote' END AS reason, count(*) AS n_rows
+          FROM raw GROUP BY 1) WHERE reason IS NOT NULL""",
+        "purge_files": """WITH d AS (SELECT CAST(ts AS DATE) AS dt, count(*) AS n FROM events GROUP BY 1), m AS (SELECT *, max(dt) OVER () AS today FROM d)
+          SELECT count(*) FILTER (dt < today - 20) AS n_removed, count(*) FILTER (dt >= today - 20) AS n_days,
+          CAST(coalesce(sum(n) FILTER (dt >= today - 20), 0) AS BIGINT) AS n_rows FROM m""",
         "silver_dedup": f"WITH {_RAW}{_DEDUP} SELECT rid AS review_id, sample_source, source_file, updated FROM dedup",
         "pseudonymise": f"SELECT event_id, {_hmac('CAST(user_id AS VARCHAR)')} AS pseudo FROM events",
         "text_normalise": f"WITH {_RAW} SELECT rid AS review_id, source_file, md5({_clean('review')}) AS text_md5, "

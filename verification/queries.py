@@ -21,7 +21,7 @@ from reviewlake.plans import acceptance
 from reviewlake.schemas import SOURCE_NATURAL
 from reviewlake.session import pin, shared_folder
 from reviewlake.sources.raw import scan_raw
-from reviewlake.sources.raw_zone import KEYS, RawZone, new_reviews, retention_split
+from reviewlake.sources.raw_zone import KEYS, RawZone, new_reviews, purge_raw, retention_split
 from reviewlake.sources.snapshots import SnapshotTable
 from verification.adapter import (
     LANGUAGES,
@@ -681,6 +681,55 @@ def ingest_twice(spark, sf_dir):
     )
 
 
+ODD_FLOW, ODD_LANGUAGE = "other flow = 50%+", "zh-Hans"
+
+
+@query
+def ingest_names(spark, sf_dir):
+    """Flows and languages with names that paths encode, stored in two batches: what is kept, and what the second adds."""
+    zone = _zone(spark)
+    raw = raw_reviews(spark, sf_dir).withColumns(
+        {
+            "sample_source": F.when(F.col("sample_source") == SOURCE_NATURAL, SOURCE_NATURAL).otherwise(ODD_FLOW),
+            "language": F.when(F.col("language") == "spanish", ODD_LANGUAGE).otherwise(F.col("language")),
+        }
+    )
+    zone.append(raw, "first", dt.date(2026, 9, 20))
+    again = zone.append(raw, "second", dt.date(2026, 9, 21))
+    kept = scan_raw(spark, zone.root).good.groupBy("sample_source", "language")
+    return kept.agg(F.count("*").alias("n_rows"), F.lit(again).cast("long").alias("n_again"))
+
+
+@query
+def raw_quarantine(spark, sf_dir):
+    """What a scan sets aside, by reason, of reviews that lack a field or lie outside the layout."""
+    folder = f"{shared_folder(spark)}/quarantine-{uuid.uuid4().hex[:8]}"
+    raw = raw_reviews(spark, sf_dir).drop("source_file", "sample_source")
+    votes = F.col("votes_up")
+    broken = raw.withColumns(
+        {
+            "recommendationid": F.when(votes % 7 != 0, F.col("recommendationid")),
+            "timestamp_created": F.when(votes % 5 != 0, F.col("timestamp_created")),
+            "voted_up": F.when(votes % 3 != 0, F.col("voted_up")),
+        }
+    )
+    broken.filter(votes % 2 == 0).write.partitionBy("app_id", "language").json(f"{folder}/in")
+    broken.filter(votes % 2 != 0).drop("language").write.partitionBy("app_id").json(f"{folder}/out")
+    scan = scan_raw(spark, folder)
+    return scan.quarantine.groupBy("reason").agg(F.count("*").alias("n_rows"))
+
+
+@query
+def purge_files(spark, sf_dir):
+    """Day folders of the event log, purged beyond 20 days: files removed and days left."""
+    folder = f"{shared_folder(spark)}/purge-{uuid.uuid4().hex[:8]}"
+    days = table(spark, sf_dir, "events").select("event_id", F.lit(1).alias("app_id"), F.lit("english").alias("language"), F.to_date("ts").alias("dt"))
+    days.repartition("dt").write.partitionBy("app_id", "language", "dt").json(folder)
+    removed = purge_raw(spark, folder, days.agg(F.max("dt")).first()[0], 20)
+    left = spark.read.json(folder)
+    return left.agg(F.lit(removed).cast("long").alias("n_removed"), F.countDistinct("dt").alias("n_days"), F.count("*").alias("n_rows"))
+
+
 @query
 def logreg_train(spark, sf_dir):
     """Trained with the defaults: what the run was fed with, and whether it converged and beats chance."""
