@@ -13,6 +13,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
+import tokenizers
 from pyspark.sql import DataFrame
 
 from reviewlake.llm.common import python_ready, table
@@ -57,7 +58,7 @@ class Recent:
 class Vocabulary:
     """Ids, merge ranks and special strings of a byte-level vocabulary with word ends."""
 
-    def __init__(self, ids: dict[str, int], merges: list[tuple[str, str]], special: dict[str, int], end: str):
+    def __init__(self, ids: dict[str, int], merges: list[tuple[str, str]], special: dict[str, int], end: str, library):
         self.special = special
         self.width = max([*ids.values(), *special.values()]) + 1
         self.strings = [""] * self.width
@@ -71,6 +72,11 @@ class Vocabulary:
         self.merged = [ids[a + b] for a, b in merges]
         self.marks = regex.compile("|".join(map(regex.escape, special)) or r"(?!)")
         self.words, self.pieces = Recent(STORE), Recent(STORE)
+        # the library's normaliser and splitter serve characters that its Unicode version sees in another way
+        self.library = library
+        self.bytes_of = {c: b for b, c in enumerate(letters)}
+        self.strange: dict[str, bool] = {}
+        self.plain = frozenset(map(chr, range(128)))
 
 
 @lru_cache(maxsize=2)
@@ -80,7 +86,8 @@ def load_vocabulary(path: str) -> Vocabulary:
     model = parts["model"]
     merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
     special = {a["content"]: a["id"] for a in parts["added_tokens"]}
-    return Vocabulary(model["vocab"], merges, special, model["end_of_word_suffix"] or "")
+    library = tokenizers.Tokenizer.from_file(path)
+    return Vocabulary(model["vocab"], merges, special, model["end_of_word_suffix"] or "", library)
 
 
 def lowered(text: str) -> str:
@@ -152,13 +159,44 @@ def encode_word(vocabulary: Vocabulary, word: str) -> bytes:
     return packed
 
 
-def _encode_plain(vocabulary: Vocabulary, text: str) -> bytes:
+def _normal(text: str) -> str:
     if not unicodedata.is_normalized("NFC", text):
         text = unicodedata.normalize("NFC", text)
-    text = lowered(text)
-    words = SPACE.split(text) if SEPARATORS.search(text) else text.split()
+    return lowered(text)
+
+
+def _words(text: str) -> list[str]:
+    return SPACE.split(text) if SEPARATORS.search(text) else text.split()
+
+
+def _library_pieces(vocabulary: Vocabulary, text: str) -> list[str]:
+    """What the vocabulary's own normaliser and splitter make of a text."""
+    normal = vocabulary.library.normalizer.normalize_str(text)
+    cut = vocabulary.library.pre_tokenizer.pre_tokenize_str(normal)
+    return [bytes(vocabulary.bytes_of[c] for c in piece).decode("utf-8") for piece, _ in cut]
+
+
+def _strange(vocabulary: Vocabulary, character: str) -> bool:
+    """Whether this Python's Unicode tables may see a character in another way than the vocabulary's do.
+
+    They are of other versions: letters, digits and cases that one of them does not know yet differ. Marks that are
+    new to one of them may also take other places among marks, so every character unknown here counts.
+    """
+    known = vocabulary.strange.get(character)
+    if known is None:
+        known = unicodedata.category(character) in ("Cn", "Co") or any(
+            [p for w in _words(_normal(t)) for p in PIECE.findall(w)] != _library_pieces(vocabulary, t)
+            for t in (character, f"a{character}a", f"1{character}", f"!{character}!")
+        )
+        vocabulary.strange[character] = known
+    return known
+
+
+def _encode_plain(vocabulary: Vocabulary, text: str) -> bytes:
+    if not text.isascii() and any(_strange(vocabulary, c) for c in set(text) if c not in vocabulary.plain):
+        return b"".join(pack(merge_piece(vocabulary, piece)) for piece in _library_pieces(vocabulary, text))
     store, out = vocabulary.words, []
-    for word in words:
+    for word in _words(_normal(text)):
         packed = store.young.get(word)
         out.append(encode_word(vocabulary, word) if packed is None else packed)
     return b"".join(out)
