@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from reviewlake.llm.common import python_ready, table
 
-#: Words of a seed.
-SEED = 3
+#: Words of a seed: replacing every third word of an item, which still scores SCORE, leaves pairs but no triples.
+SEED = 2
 #: Alignment score from which a document holds an item (1: every word of the item, in order).
 SCORE = 0.5
 # Alignment of words: what a match earns, what a different or missing word costs.
@@ -36,18 +36,24 @@ class Items:
         self.ids = [i for i, _ in items]
         self.number = {w: k + 1 for k, w in enumerate(sorted({w for _, ws in items for w in ws}))}
         self.words = [np.array([self.number[w] for w in ws], dtype=np.int64) for _, ws in items]
-        places: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        self.counts = [Counter(ws.tolist()) for ws in self.words]
+        places: dict[int, dict[int, list[tuple[int, int]]]] = {}
+        self.need = []
         for item, numbers in enumerate(self.words):
-            for at, key in enumerate(self.keys(numbers).tolist()):
-                places[key].append((item, at))
-        self.seeds = np.array(sorted(places), dtype=np.int64)
-        self.places = [places[k] for k in self.seeds.tolist()]
-
-    def keys(self, numbers: np.ndarray) -> np.ndarray:
-        """One number per run of SEED words, -1 where a word is unknown; a short item is one run by itself."""
+            run = min(SEED, len(numbers))
+            keys = self.keys(numbers, run).tolist()
+            self.need.append(min(2, len(set(keys))))
+            own = places.setdefault(run, defaultdict(list))
+            for at, key in enumerate(keys):
+                own[key].append((item, at))
+        # per length of seeds: the seeds in order, and where each points
+        self.seeds = {run: np.array(sorted(own), dtype=np.int64) for run, own in places.items()}
+        self.places = {run: [own[k] for k in self.seeds[run].tolist()] for run, own in places.items()}
+
+    def keys(self, numbers: np.ndarray, run: int) -> np.ndarray:
+        """One number per run of words, -1 where a word is unknown."""
         size = len(self.number) + 1
-        run = min(SEED, len(numbers))
-        if run == 0:
+        if len(numbers) < run:
             return np.zeros(0, dtype=np.int64)
         parts = [numbers[k : len(numbers) - run + 1 + k] for k in range(run)]
         key, known = np.zeros_like(parts[0]), np.ones(len(parts[0]), dtype=bool)
@@ -59,30 +65,30 @@ class Items:
         get = self.number.get
         return np.array([get(w, 0) for w in words], dtype=np.int64)
 
-    def hits(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in a text and the seeds that stand there."""
-        keys = self.keys(numbers) if len(numbers) >= SEED else np.zeros(0, dtype=np.int64)
+    def hits(self, numbers: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places in a text and the seeds of that length that stand there."""
+        keys, seeds = self.keys(numbers, run), self.seeds[run]
         at = np.flatnonzero(keys > 0)
-        found = np.searchsorted(self.seeds, keys[at])
-        found = np.minimum(found, len(self.seeds) - 1)
-        same = self.seeds[found] == keys[at]
+        found = np.minimum(np.searchsorted(seeds, keys[at]), len(seeds) - 1)
+        same = seeds[found] == keys[at]
         return at[same], found[same]
 
     def windows(self, numbers: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(item, from, to): stretches of a text where at least two seeds of an item point to one place.
 
         Every seed serves, however common it is: those that an edited copy keeps may be the item's most frequent.
-        Items with fewer than two seeds need one. Stretches of one item that touch are one.
+        Items with one different seed need one. Stretches of one item that touch are one.
         """
-        at, seeds = self.hits(numbers)
         pointed: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-        for place, seed in zip(at.tolist(), seeds.tolist(), strict=True):
-            for item, inside in self.places[seed]:
-                size = len(self.words[item])
-                slack = size // 2
-                pointed[item].append((max(0, place - inside - slack), place - inside + size + slack, seed))
+        for run in self.seeds:
+            at, seeds = self.hits(numbers, run)
+            for place, seed in zip(at.tolist(), seeds.tolist(), strict=True):
+                for item, inside in self.places[run][seed]:
+                    size = len(self.words[item])
+                    slack = size // 2
+                    pointed[item].append((max(0, place - inside - slack), place - inside + size + slack, seed))
         for item, spans in pointed.items():
-            need = min(2, len(self.words[item]) - SEED + 1)
+            need = self.need[item]
             spans.sort()
             low, high, met = spans[0][0], spans[0][1], {spans[0][2]}
             for a, b, seed in [*spans[1:], (1 << 60, 0, -1)]:
@@ -94,6 +100,11 @@ class Items:
                     yield item, low, min(high, len(numbers))
                 low, high, met = a, b, {seed}
 
+    def enough(self, item: int, window: list[int]) -> bool:
+        """Whether the window has as many of the item's words as SCORE takes, in any order: no better score is possible."""
+        present = set(window)
+        return sum(n for w, n in self.counts[item].items() if w in present) >= SCORE * len(self.words[item])
+
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int]:
     """Best local alignment of `text` to `item` as a share of the item's full score, and where it ends in `text`."""
@@ -129,9 +140,11 @@ def _blocks(benchmark: DataFrame) -> Iterator[Items]:
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, score, end_word: each document that holds a benchmark item, and the item.
 
-    Words are compared without case and punctuation. Null and empty texts and items hold nothing; rows that repeat
+    Words are compared without case and punctuation. A text is aligned with an item where two different pairs of
+    neighbouring words of it stand in one place (one, where the item has no more; an item of one word stands wherever
+    the word does). Texts of any length are searched whole. Null and empty texts and items hold nothing; rows that repeat
     give equal rows; an item id that repeats gives a row per text; without items or documents the result is empty.
-    end_word is the number of the word of the document at which the best alignment ends.
+    end_word is the number of the word of the document at which the best alignment ends. Other columns are not read.
     """
     spark = docs.sparkSession
     python_ready(spark)
@@ -156,8 +169,11 @@ def _aligned(docs: DataFrame, items: Items, schema: str) -> DataFrame:
             out = []
             for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
                 numbers = items.numbers(words_of(text))
+                plain = numbers.tolist()
                 best: dict[int, tuple[float, int]] = {}
                 for item, low, high in items.windows(numbers):
+                    if not items.enough(item, plain[low:high]):
+                        continue
                     score, end = align(items.words[item], numbers[low:high])
                     if score >= SCORE and score > best.get(item, (0.0, 0))[0]:
                         best[item] = (score, low + end)

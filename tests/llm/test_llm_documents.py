@@ -343,6 +343,19 @@ def test_every_context_of_a_small_language_is_kept(spark):
     assert len(wanted) > 4096 and set(lang_id.learn(df).contexts) == wanted
 
 
+def test_every_code_point_has_the_ids_of_the_library():
+    tokenizers = pytest.importorskip("tokenizers")
+    vocabulary, library = bpe.load_vocabulary(bpe.default_path()), tokenizers.Tokenizer.from_file(bpe.default_path())
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{chr(c)}b {chr(c)}" for c in points if c < 0x33500 or 0xE0000 <= c < 0xF0000]
+    rest = [c for c in points if not (c < 0x33500 or 0xE0000 <= c < 0xF0000)]  # unassigned or private: many in a text
+    texts += [" ".join(f"a{chr(c)}b {chr(c)}" for c in rest[at : at + 200]) for at in range(0, len(rest), 200)]
+    for at in range(0, len(texts), 50_000):
+        part = texts[at : at + 50_000]
+        for text, found in zip(part, library.encode_batch(part, add_special_tokens=False), strict=True):
+            assert bpe.encode(vocabulary, text) == bpe.pack(found.ids), text[:40].encode("unicode_escape")
+
+
 def repeats_by_hand(rows):
     key = lambda d: 2**63 if d is None else d
     owner = {}
@@ -419,6 +432,32 @@ def test_leaks_exact_and_edited(spark):
     assert kept.columns == docs.columns and Counter(r.doc_id for r in kept.collect()) == Counter([*range(40), 60, 61])
 
 
+def test_leaks_equal_full_alignment(spark):
+    """Every document against every item, aligned whole; copies edited down to the least score that counts."""
+    rnd = random.Random(14)
+    few = [word(rnd) for _ in range(60)]
+    items = [(k, " ".join(rnd.choice(few) for _ in range(rnd.randint(12, 30)))) for k in range(12)]
+    items += [(20, "no no no no"), (21, "two words"), (22, "wordalone"), (23, "again and again and again and again")]
+    rows = [(k, " ".join(rnd.choice(few) for _ in range(rnd.randint(5, 150)))) for k in range(80)]
+    rows += [(200 + k, f"{few[k]} {items[k][1] if k < 12 else ''} {few[k + 1]}") for k in range(12)]
+    for k, step in enumerate((3, 3, 4, 5, 3, 3, 6, 4)):
+        copy = [f"x{n}" if n % step == step - 1 else w for n, w in enumerate(items[k][1].split())]
+        rows.append((300 + k, " ".join([*(rnd.choice(few) for _ in range(9)), *copy, few[0]])))
+    rows += [(400, "oh no no no no way"), (401, "just two words here"), (402, "a wordalone b"), (403, "x again and again and again and again")]
+    expected = set()
+    for doc, text in rows:
+        for item, wanted in items:
+            a, b = decontaminate.words_of(wanted), decontaminate.words_of(text)
+            number = {w: n for n, w in enumerate(dict.fromkeys(a + b))}
+            if decontaminate.align(np.array([number[w] for w in a]), np.array([number[w] for w in b]))[0] >= decontaminate.SCORE:
+                expected.add((doc, item))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    copies = {(200 + k, k) for k in range(12)} | {(300 + k, k) for k in range(8)} | {(400, 20), (401, 21), (402, 22), (403, 23)}
+    assert got <= expected and copies & expected <= got and len(copies & expected) >= 20
+    assert len(got) >= 0.9 * len(expected), (len(got), len(expected))
+
+
 def test_common_contamination_is_still_found(spark):
     rnd = random.Random(6)
     item = " ".join(word(rnd) for _ in range(30))
