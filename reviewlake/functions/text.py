@@ -71,7 +71,7 @@ def char_ngram_counts(text: Column, shortest: int = 2, longest: int = 5) -> Colu
     """``array<struct<term, tf>>``: character n-grams inside each padded word, counted inside the row.
 
     Words are counted first, then each distinct one adds its n-grams as often as it stands. As nested array functions
-    the same work ran interpreted, eight times slower (README), so it is one Arrow function over the words.
+    the same work ran interpreted (figures in the README), so it is one Arrow function over the words.
     """
 
     def count(words: pa.Array) -> pa.Array:
