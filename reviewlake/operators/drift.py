@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reviewlake.functions.decision import psi_band
-from reviewlake.operators.selection import chronological_halves, exact_quantiles
+from reviewlake.operators.selection import chronological_halves, row_quantiles
 from reviewlake.schemas import SOURCE_NATURAL
 from reviewlake.session import pin
 
@@ -51,34 +51,22 @@ def numeric_psi(halves: DataFrame, column: str, bins: int = BINS) -> DataFrame:
     """One row ``(column, psi)`` for a numeric column of a frame marked with ``half``.
 
     Classes are right-closed intervals between the distinct quantiles of the reference; a current
-    value outside them leaves the denominator. Rows are counted per value first; the counts are
-    stored, and the quantiles and the classes only read those.
+    value outside them leaves the denominator. The edges become literals, and one more pass counts the
+    rows per class.
     """
-    histogram = pin(
-        halves.filter(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double")))
-        .groupBy("half", F.col(column).alias("value"))
-        .agg(F.count("*").alias("n"))
-    )
-    reference = histogram.filter(F.col("half") == "reference")
-    probabilities = [i / bins for i in range(bins + 1)]
-    edges = pin(
-        exact_quantiles(reference, "value", "n", probabilities).agg(
-            F.array_sort(F.collect_set("quantile")).alias("edges")
-        )
-    )
-    limits = edges.scalar()
-    below = F.size(F.filter("edges", lambda e: e < F.col("value")))
-    place = F.when(F.col("value") == F.get("edges", F.lit(0)), 1).otherwise(below)
-    placed = histogram.withColumn("edges", limits).withColumn("bin", place)
-    inside = placed.filter((F.col("bin") >= 1) & (F.col("bin") < F.size("edges")))
-    counts = inside.groupBy("half", "bin").agg(F.sum("n").alias("n"))
+    present = halves.filter(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double")))
+    reference = present.filter(F.col("half") == "reference")
+    edges = sorted(set(row_quantiles(reference, F.col(column), [i / bins for i in range(bins + 1)])))
+    limits = F.lit(edges).cast("array<double>")
+    below = F.size(F.filter(limits, lambda e: e < F.col(column)))
+    place = F.when(F.col(column) == F.get(limits, F.lit(0)), 1).otherwise(below)
+    inside = present.select("half", place.alias("bin")).filter(F.col("bin").between(1, len(edges) - 1))
+    counts = inside.groupBy("half", "bin").agg(F.count("*").alias("n"))
     # Every class takes part, also one that no value of either window falls into.
-    empty = edges.filter(F.size("edges") >= 2).select(
-        F.explode(F.sequence(F.lit(1), F.size("edges") - 1)).alias("bin")
-    )
-    every = counts.unionByName(
-        empty.select(F.lit("reference").alias("half"), "bin", F.lit(0).cast("long").alias("n"))
+    empty = halves.sparkSession.createDataFrame(
+        [("reference", i, 0) for i in range(1, len(edges))], "half string, bin int, n long"
     )
+    every = counts.unionByName(empty)
     sides = _by_side(every, ["bin"]).withColumn("column", F.lit(column))
     psi = _index(sides, ["column"])
     return _one_row_per_column(psi, [column])

@@ -17,14 +17,16 @@ def local_contributions(
     them (``n=None``) plus the intercept add up to the decision margin. A review without a known
     term keeps one row of nulls.
     """
-    weighted = _weighted_terms(reviews, model, text)
-    strongest_first = Window.partitionBy("review_id").orderBy(F.round(F.abs("push"), 9).desc(), F.col("term"))
-    ranked = weighted.withColumn("rank", F.row_number().over(strongest_first))
-    if n is not None:
-        ranked = ranked.filter(F.col("rank") <= n)
-    shown = ranked.join(_lengths(weighted), "review_id").select(
-        "review_id", "rank", "term", (F.col("push") / F.col("length")).alias("contribution")
+    review = Window.partitionBy("review_id")
+    strongest_first = review.orderBy(F.round(F.abs("push"), 9).desc(), F.col("term"))
+    # rank and norm come from one exchange, so that the text is taken apart once
+    ranked = _weighted_terms(reviews, model, text).select(
+        "review_id",
+        F.row_number().over(strongest_first).alias("rank"),
+        "term",
+        (F.col("push") / F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(review))).alias("contribution"),
     )
+    shown = ranked if n is None else ranked.filter(F.col("rank") <= n)
     return reviews.select("review_id").join(shown, "review_id", "left")
 
 
@@ -56,11 +58,6 @@ def _weighted_terms(reviews: DataFrame, model: LinearModel, text: str) -> DataFr
     return weighted.select("review_id", "term", "raw", (F.col("raw") * F.col("coef_neg")).alias("push"))
 
 
-def _lengths(weighted: DataFrame) -> DataFrame:
-    """The norm of each review, summed map-side."""
-    return weighted.groupBy("review_id").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length"))
-
-
 def global_terms(model: LinearModel, n: int = 20) -> DataFrame:
     """The ``n`` strongest terms toward each class; only coefficients that really point there."""
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from reviewlake.operators.selection import keys_at_ranks, number_cells
+from reviewlake.operators.selection import number_cells, values_at_ranks
 from reviewlake.schemas import (
     DEFAULT_THRESHOLD,
     LABEL_NEGATIVE,
@@ -14,7 +14,7 @@ from reviewlake.schemas import (
     SOURCE_NATURAL,
     THRESHOLD_GRID,
 )
-from reviewlake.session import parallelism, pin
+from reviewlake.session import parallelism
 
 LATENCY_WINDOW = 2048  # samples kept per endpoint
 
@@ -181,12 +181,6 @@ def load_summary(log: DataFrame, ok: Column, seconds: Column) -> DataFrame:
     duration, or with NaN, counts as a request but takes no part in mean, maximum and percentiles.
     """
     measured = F.when(~F.isnan(F.col("duration_ms").cast("double")), F.col("duration_ms"))
-    histogram = pin(
-        log.select(measured.alias("duration_ms"))
-        .filter(F.col("duration_ms").isNotNull())
-        .groupBy("duration_ms")
-        .agg(F.count("*").alias("n"))
-    )
     totals = log.agg(
         F.count("*").alias("requests"),
         F.count_if(ok).alias("succeeded"),
@@ -194,18 +188,9 @@ def load_summary(log: DataFrame, ok: Column, seconds: Column) -> DataFrame:
         F.coalesce(F.max(measured), F.lit(0.0)).alias("max"),
         seconds.cast("double").alias("seconds"),
     )
-    cells = number_cells(F.col("duration_ms"))
     # ceil(p / 100 * n) in whole numbers, so that no rounding error moves a rank
-    ranks = {
-        f"p{p}": (lambda n, p=p: F.greatest(F.floor((n * p + 99) / 100), F.lit(1)))
-        for p in (50, 90, 99)
-    }
-    found = keys_at_ranks(histogram, cells, ["duration_ms"], ranks, weight="n")
-    wide = found.agg(
-        F.struct(
-            *[F.max(F.when(F.col("target") == t, F.col("duration_ms"))).alias(t) for t in ranks]
-        ).alias("found")
-    ).scalar()
+    ranks = {f"p{p}": (p / 100, lambda n, p=p: max((n * p + 99) // 100, 1)) for p in (50, 90, 99)}
+    found = values_at_ranks(log, measured, ranks)
     return totals.select(
         "requests",
         "succeeded",
@@ -214,10 +199,7 @@ def load_summary(log: DataFrame, ok: Column, seconds: Column) -> DataFrame:
         F.when(F.col("seconds") > 0, F.col("requests") / F.col("seconds"))
         .otherwise(0.0)
         .alias("throughput"),
-        *[
-            F.coalesce(wide[t], F.lit(0.0)).alias(t)
-            for t in ranks
-        ],
+        *[F.lit(found[t].value if t in found else 0.0).cast("double").alias(t) for t in ranks],
         "mean",
         "max",
     )

@@ -1,16 +1,132 @@
 """Exact ranks on data of any size, without sorting it in one place.
 
-A rank is found by counting: rows per coarse cell, then per finer cell inside the one cell that
-holds the wanted rank, and only the rows of the last cell are ordered. Every pass is an
-aggregation with map-side combine, and every window runs over cells, not over rows.
+Ranks of a number take two passes: a sketch brackets each rank, then everything outside the brackets
+is only counted and the few values inside are ordered (``values_at_ranks``). Other keys are found by
+counting rows per coarse cell, then per finer cell inside the one cell that holds the wanted rank
+(``keys_at_ranks``). Every pass is an aggregation with map-side combine.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable, Sequence
+from math import ceil, floor
+from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from reviewlake.session import pin
+
+#: Rank error of the sketch is one part in so many; a bracket holds about four such parts of the rows.
+SKETCH = 20_000
+
+
+class Located(NamedTuple):
+    """A value at a rank, the number of rows below it, of rows equal to it, and of all rows."""
+
+    value: Any
+    below: int
+    ties: int
+    population: int
+
+
+def values_at_ranks(
+    rows: DataFrame,
+    value: Column,
+    targets: dict[str, tuple[float, Callable[[int], int]]],
+    sketch: int = SKETCH,
+) -> dict[str, Located]:
+    """The value found at each wanted rank, exactly, in two passes over ``rows``.
+
+    ``targets`` map a name to the share of rows at which the rank lies, give or take a row, and to the
+    1-based rank as a function of the number of rows; a rank outside of them is left out. Nulls and
+    NaN take no part. A bracket that a sketch puts wrongly is noticed, as the wanted rank is not in
+    it, and drawn wider; the result never depends on the sketch.
+    """
+    present = rows.select(value.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan(F.col("v").cast("double")))
+    margin = 2 / sketch
+    while True:
+        around = [
+            F.percentile_approx("v", [max(share - margin, 0.0), min(share + margin, 1.0)], sketch).alias(name)
+            for name, (share, _) in targets.items()
+        ]
+        first = present.agg(F.count("*").alias("population"), *around).first()
+        population = first["population"]
+        ranks = {name: rank(population) for name, (_, rank) in targets.items()}
+        ranks = {name: rank for name, rank in ranks.items() if 1 <= rank <= population}
+        if not ranks:
+            return {}
+        whole = population <= sketch or margin >= 1
+        found = _inside_brackets(present, [] if whole else [first[name] for name in ranks], ranks)
+        if len(found) == len(ranks):
+            return found
+        margin *= 16
+
+
+def _inside_brackets(present: DataFrame, brackets: list, ranks: dict[str, int]) -> dict[str, Located]:
+    """Order the values inside the brackets, count the others; all values, if there are no brackets."""
+    joined: list[list] = []
+    for low, high in sorted(brackets):
+        if joined and low <= joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], high)
+        else:
+            joined.append([low, high])
+    if joined:
+        # even segments are gaps, odd ones brackets
+        segment = sum(
+            ((F.col("v") >= F.lit(low)).cast("int") + (F.col("v") > F.lit(high)).cast("int") for low, high in joined),
+            F.lit(0),
+        )
+    else:
+        segment = F.lit(1)
+    kept = F.when(F.col("segment") % 2 == 1, F.col("v")).alias("v")
+    counts = pin(
+        present.withColumn("segment", segment).groupBy("segment", kept).agg(F.count("*").alias("n"))
+    )
+    sizes = dict(counts.groupBy("segment").agg(F.sum("n")).collect())
+    before, wanted = 0, []
+    for part in sorted(sizes):
+        if part % 2 == 1:
+            inside = sorted({rank for rank in ranks.values() if before < rank <= before + sizes[part]})
+            wanted += [(part, before, rank) for rank in inside]
+        before += sizes[part]
+    if not wanted:
+        return {}
+    running = Window.partitionBy("segment").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    offsets = F.create_map(*[F.lit(x) for part, offset in sorted({w[:2] for w in wanted}) for x in (part, offset)])
+    upto = F.sum("n").over(running) + offsets[F.col("segment")]
+    hit = F.exists(
+        F.array(*[F.lit(rank) for _, _, rank in wanted]),
+        lambda rank: (rank <= F.col("upto")) & (rank > F.col("upto") - F.col("n")),
+    )
+    cells = [
+        Located(row["v"], row["upto"] - row["n"], row["n"], before)
+        for row in counts.filter(F.col("segment") % 2 == 1).withColumn("upto", upto).filter(hit).collect()
+    ]
+    cells.sort(key=lambda cell: cell.below)
+    ends = [cell.below + cell.ties for cell in cells]
+    reached = {rank for _, _, rank in wanted}
+    return {name: cells[bisect_left(ends, rank)] for name, rank in ranks.items() if rank in reached}
+
+
+def row_quantiles(
+    rows: DataFrame, value: Column, probabilities: Sequence[float], sketch: int = SKETCH
+) -> list[float]:
+    """Linear-interpolation quantiles of a number over rows; an empty list where there is none."""
+    targets: dict[str, tuple[float, Callable[[int], int]]] = {}
+    for i, p in enumerate(probabilities):
+        targets[f"{i}:lo"] = (p, lambda n, p=p: floor((n - 1) * p) + 1)
+        targets[f"{i}:hi"] = (p, lambda n, p=p: ceil((n - 1) * p) + 1)
+    found = values_at_ranks(rows, value, targets, sketch)
+    if not found:
+        return []
+    quantiles = []
+    for i, p in enumerate(probabilities):
+        low, high = found[f"{i}:lo"], found[f"{i}:hi"]
+        place = (low.population - 1) * p
+        quantiles.append(float(low.value) + (float(high.value) - float(low.value)) * (place - floor(place)))
+    return quantiles
+
 
 def keys_at_ranks(
     df: DataFrame,
@@ -161,21 +277,24 @@ def exact_quantiles(
 def chronological_halves(df: DataFrame, moment: str, identifier: str) -> DataFrame:
     """Mark the earliest ``n // 2`` rows ``reference`` and the others ``current``.
 
-    Rows of the same moment are ordered by the digest of their identifier. The one key at the cut is
-    looked up first and becomes a literal of the plan; the rows themselves are never ordered or moved.
+    Rows of the same moment are ordered by the digest of their identifier; rows without a moment are
+    ``current`` and do not count. The one key at the cut is looked up first and becomes a literal of
+    the plan; the rows themselves are never ordered or moved. Only where the cut falls among rows of
+    one moment are these looked at for their digests.
     """
     digest = F.sha2(F.col(identifier).cast("string"), 256)
-    keyed = df.select(F.col(moment).alias("moment"), digest.alias("digest"))
-    cut = keys_at_ranks(
-        keyed,
-        cells=[F.to_date("moment"), F.col("moment"), F.substring("digest", 1, 4)],
-        key=["moment", "digest"],
-        targets={"half": lambda n: F.floor(n / 2)},
-    ).first()
+    micros = F.unix_micros(F.col(moment).cast("timestamp"))
+    cut = values_at_ranks(df, micros, {"half": (0.5, lambda n: n // 2)}).get("half")
     if cut is None:  # fewer than two rows
         return df.withColumn("half", F.lit("current"))
-    at = F.lit(cut["moment"])
-    early = (F.col(moment) < at) | ((F.col(moment) == at) & (digest <= F.lit(cut["digest"])))
+    early = micros <= F.lit(cut.value)
+    inside = cut.population // 2 - cut.below
+    if inside < cut.ties:
+        tied = df.filter(micros == F.lit(cut.value)).select(digest.alias("digest"))
+        last = keys_at_ranks(
+            tied, [F.substring("digest", 1, 4)], ["digest"], {"last": lambda n: F.lit(inside)}
+        ).first()["digest"]
+        early = (micros < F.lit(cut.value)) | ((micros == F.lit(cut.value)) & (digest <= F.lit(last)))
     return df.withColumn("half", F.when(early, "reference").otherwise("current"))
 
 

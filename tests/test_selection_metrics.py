@@ -10,8 +10,10 @@ from reviewlake.operators.selection import (
     chronological_halves,
     exact_quantiles,
     number_cells,
+    row_quantiles,
     stratified_folds,
     stratified_split,
+    values_at_ranks,
 )
 
 
@@ -54,6 +56,48 @@ def test_quantiles_of_one_value(spark):
     assert {r["quantile"] for r in exact_quantiles(hist, "v", "n", [0.0, 0.5, 1.0]).collect()} == {4.0}
 
 
+def test_a_million_moments_in_one_day(spark):
+    day = 1_700_006_400_000_000
+    df = spark.range(1_000_000).select(
+        "id", F.timestamp_micros(F.lit(day) + (F.col("id") * 7_919 % 1_000_000) * 86_399).alias("t")
+    )
+    halves = chronological_halves(df, "t", "id").groupBy("half").agg(F.count("*").alias("n"), F.min("t"), F.max("t"))
+    late, early = halves.orderBy("half").collect()
+    assert (early["n"], late["n"]) == (500_000, 500_000) and early["max(t)"] < late["min(t)"]
+
+
+def test_a_third_of_the_rows_at_the_cut(spark):
+    df = spark.range(30_000).select(
+        "id", F.timestamp_seconds(F.when(F.col("id") % 3 == 0, 500_000).otherwise(F.col("id") * 33)).alias("t")
+    )
+    marked = chronological_halves(df, "t", "id").withColumn("digest", F.sha2(F.col("id").cast("string"), 256))
+    rows = sorted((r["t"], r["digest"], r["half"]) for r in marked.collect())
+    assert [half for _, _, half in rows] == ["reference"] * 15_000 + ["current"] * 15_000
+
+
+def test_rows_without_a_moment_do_not_count(spark):
+    df = frame(spark, [("a", 1), ("b", 2), ("c", None), ("d", None), ("e", None)], "id string, s long")
+    marked = chronological_halves(df.withColumn("t", F.timestamp_seconds("s")), "t", "id")
+    assert [r["id"] for r in marked.filter("half = 'reference'").collect()] == ["a"]
+
+
+@pytest.mark.parametrize("sketch", [50, 400, 20_000])
+def test_bracketed_quantiles_equal_numpy(spark, sketch):
+    rng = random.Random(sketch)
+    values = [rng.choice([-3.5, 0.0, 7.0, rng.lognormvariate(0, 4), -rng.random()]) for _ in range(5_003)]
+    rows = frame(spark, [(v,) for v in values] + [(None,), (float("nan"),)], "v double")
+    probabilities = [i / 10 for i in range(11)] + [0.999]
+    got = row_quantiles(rows, F.col("v"), probabilities, sketch)
+    assert got == pytest.approx([float(np.quantile(values, p)) for p in probabilities], rel=1e-12)
+    assert row_quantiles(rows.filter("v > 1e300"), F.col("v"), probabilities, sketch) == []
+
+
+def test_a_share_far_off_the_rank_still_finds_it(spark):
+    rows = spark.range(3_000).select((F.col("id") * 2).alias("v"))
+    found = values_at_ranks(rows, F.col("v"), {"low": (0.9, lambda n: 5), "none": (0.5, lambda n: n + 1)}, sketch=100)
+    assert found == {"low": (8, 4, 1, 3_000)}
+
+
 def test_split_is_exact_per_label_and_repeatable(spark):
     rows = [(str(i), int(i % 10 != 0)) for i in range(203)]
     df = frame(spark, rows, "id string, label long")
