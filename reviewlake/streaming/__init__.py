@@ -1 +1 @@
-"""File-stream form of the idempotent ingest."""
+"""Streams: the idempotent ingest of files, and endpoint latencies kept in state."""

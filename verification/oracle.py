@@ -644,4 +644,5 @@ def all_oracles() -> dict[str, str]:
           SELECT *, left_count = right_count AS success FROM x""",
         "version_mismatches": f"WITH {_PRED} SELECT count(*) AS n_rows, count(*) FILTER (model_version <> '10') AS mismatches FROM pred",
     }
+    sql["endpoint_latency_stream"] = sql["endpoint_latency"]
     return sql

@@ -23,6 +23,7 @@ from reviewlake.session import pin, shared_folder
 from reviewlake.sources.raw import scan_raw
 from reviewlake.sources.raw_zone import KEYS, RawZone, new_reviews, purge_raw, retention_split
 from reviewlake.sources.snapshots import SnapshotTable
+from reviewlake.streaming.latency import current_latency, run_endpoint_latency
 from verification.adapter import (
     LANGUAGES,
     SALT,
@@ -586,7 +587,11 @@ def _stable(model):
 
 
 def request_log(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
+    return as_requests(table(spark, sf_dir, "events"))
+
+
+def as_requests(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("event_id").alias("request_id"),
         F.col("event_type").alias("path"),
         "ts",
@@ -604,6 +609,18 @@ def endpoint_latency(spark, sf_dir):
     return serving.service_metrics(request_log(spark, sf_dir))
 
 
+@query
+def endpoint_latency_stream(spark, sf_dir):
+    """The request log as a stream of files, taken in by two runs of which the second finds nothing new."""
+    schema = table(spark, sf_dir, "events").schema
+    folder = f"{shared_folder(spark)}/latency-{uuid.uuid4().hex[:8]}"
+    for _ in range(2):
+        # a stream reads single files by pattern only
+        landed = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/events.parquet*")
+        run_endpoint_latency(as_requests(landed), f"{folder}/figures", f"{folder}/offsets").awaitTermination()
+    return current_latency(spark, f"{folder}/figures")
+
+
 @query
 def load_summary(spark, sf_dir):
     moment = F.unix_micros(F.col("ts").cast("timestamp"))
