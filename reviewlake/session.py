@@ -5,9 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -67,6 +68,16 @@ def pin(df: DataFrame, schema: StructType | None = None) -> DataFrame:
     return spark.read.schema(schema or df.schema).parquet(path)
 
 
+def counted_write(df: DataFrame, write: Callable[[DataFrameWriter], None]) -> int:
+    """Run a write and return its number of rows, observed on the way; nothing is read again.
+
+    The count sits in the tasks that write, of which each partition's only counts once, whatever is retried.
+    """
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("n")).write)
+    return seen.get["n"]
+
+
 def _pin_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/pinned-{spark.sparkContext.applicationId}"
 

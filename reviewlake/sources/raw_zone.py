@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from reviewlake.schemas import RETENTION_DAYS, SOURCE_NATURAL
-from reviewlake.session import pin
+from reviewlake.session import counted_write, pin
 from reviewlake.sources.raw import RawScan, path_value
 from reviewlake.sources.snapshots import _filesystem, folder_exists
 
@@ -98,12 +98,12 @@ class RawZone:
         lines.filter(natural).drop("sample").write.mode("append").partitionBy(*folders).json(self.root)
         lines.filter(~natural).write.mode("append").partitionBy("sample", *folders).json(self.root)
         stored = self._stored_keys(batch)
-        count = stored.count() if stored is not None else 0
-        if count:
-            stored.write.mode("overwrite").partitionBy("sample_source", "app_id", "language").parquet(
-                keys_folder
-            )
-        return count
+        if stored is None:
+            return 0
+        places = ("sample_source", "app_id", "language")
+        return counted_write(
+            stored, lambda writer: writer.mode("overwrite").partitionBy(*places).parquet(keys_folder)
+        )
 
     def _folders(self, batch: str) -> list:
         """Folders that hold lines of a batch, found by name."""

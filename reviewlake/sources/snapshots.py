@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from reviewlake.schemas import ContractError
+from reviewlake.session import counted_write
 
 LOG = "snapshot_id long, ts_ms long, operation string, n_rows long, location string, schema_json string"
 
@@ -78,11 +79,9 @@ class SnapshotTable:
         schema = df.schema
         snapshot_id, stamp = self._next()
         location = f"{self.root}/data/snapshot_id={snapshot_id}-{uuid.uuid4().hex[:8]}"
-        writer = df.write.mode("errorifexists")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(location)
-        rows = self.spark.read.schema(schema).parquet(location).count()
+        rows = counted_write(
+            df, lambda writer: writer.mode("errorifexists").partitionBy(*partition_by or []).parquet(location)
+        )
         return {
             "snapshot_id": snapshot_id,
             "ts_ms": stamp,
@@ -136,7 +135,7 @@ class SnapshotTable:
             raise ValueError(f"unknown snapshot {snapshot_id} of {self.name}")
         _, stamp = self._next()
         self._append_log({**row.asDict(), "ts_ms": stamp, "operation": "restore"})
-        return {"table": self.name, "snapshot_id": snapshot_id, "rows": self.read().count()}
+        return {"table": self.name, "snapshot_id": snapshot_id, "rows": row["n_rows"]}
 
 
 class SnapshotGroup:
@@ -150,9 +149,12 @@ class SnapshotGroup:
         """Write every table, then commit all of them at once; the rows of each."""
         snapshot_id, stamp = self._table._next()
         location = f"{self._table.root}/data/snapshot_id={snapshot_id}-{uuid.uuid4().hex[:8]}"
-        for name, df in tables.items():
-            df.write.mode("errorifexists").parquet(f"{location}/{name}")
-        rows = {n: self.spark.read.parquet(f"{location}/{n}").count() for n in tables}
+        rows = {
+            name: counted_write(
+                df, lambda writer, name=name: writer.mode("errorifexists").parquet(f"{location}/{name}")
+            )
+            for name, df in tables.items()
+        }
         self._table._append_log(
             {
                 "snapshot_id": snapshot_id,

@@ -253,3 +253,14 @@ def test_only_named_key_partitions_are_read(spark, tmp_path, review):
     fresh = new_reviews(batch, zone.seen())
     plan = fresh._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan.lower() and fresh.count() == 0
+
+
+def test_rows_are_counted_while_they_are_written(spark, tmp_path, monkeypatch):
+    left = spark.range(100).withColumn("k", F.col("id") % 7)
+    nothing = left.join(spark.range(0), "id")
+    monkeypatch.setattr(type(left), "count", lambda self: pytest.fail("read again to be counted"))
+    group = SnapshotGroup(spark, str(tmp_path), "gold.star")
+    assert group.overwrite({"a": left, "b": nothing, "c": left.groupBy("k").agg(F.max("id"))}) == {"a": 100, "b": 0, "c": 7}
+    table = SnapshotTable(spark, str(tmp_path), "t")
+    assert table.stage(left, ["k"])["n_rows"] == 100
+    assert table.stage(nothing)["n_rows"] == 0
