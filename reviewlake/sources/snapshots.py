@@ -6,6 +6,7 @@ leaves an unlisted folder and no damage.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
 import uuid
@@ -16,6 +17,9 @@ from pyspark.sql import types as T
 from reviewlake.schemas import ContractError
 from reviewlake.session import counted_write
 
+#: Metadata of the key column of a bucketed version: the number of buckets.
+BUCKETS = "buckets"
+
 LOG = "snapshot_id long, ts_ms long, operation string, n_rows long, location string, schema_json string"
 
 
@@ -63,10 +67,15 @@ class SnapshotTable:
         stamp = max(int(time.time() * 1000), (last["ts"] or 0) + 1)
         return (last["id"] or 0) + 1, stamp
 
-    def stage(self, df: DataFrame, partition_by: list[str] | None = None) -> dict:
+    def stage(
+        self, df: DataFrame, partition_by: list[str] | None = None, buckets: tuple[str, int] | None = None
+    ) -> dict:
         """Write a new version without making it visible: the log row that ``commit`` will append.
 
         Column names must be those of the stored table; the types are cast to the stored ones.
+        ``buckets`` names a key and a number: versions with equal buckets join on the key without an
+        exchange. A frame already hashed on the key is stored as it lies; others should be
+        repartitioned on it first, as every task writes a file per bucket it holds rows of.
         """
         current = self._latest()
         if current is not None:
@@ -79,9 +88,17 @@ class SnapshotTable:
         schema = df.schema
         snapshot_id, stamp = self._next()
         location = f"{self.root}/data/snapshot_id={snapshot_id}-{uuid.uuid4().hex[:8]}"
-        rows = counted_write(
-            df, lambda writer: writer.mode("errorifexists").partitionBy(*partition_by or []).parquet(location)
-        )
+        if buckets:
+            key, number = buckets
+            schema = T.StructType(
+                [T.StructField(f.name, f.dataType, f.nullable, {BUCKETS: number} if f.name == key else {}) for f in schema]
+            )
+            table = self._bucketed(location, schema)
+            rows = counted_write(df, lambda writer: writer.insertInto(table))
+        else:
+            rows = counted_write(
+                df, lambda writer: writer.mode("errorifexists").partitionBy(*partition_by or []).parquet(location)
+            )
         return {
             "snapshot_id": snapshot_id,
             "ts_ms": stamp,
@@ -101,15 +118,32 @@ class SnapshotTable:
             "location": staged["location"],
         }
 
-    def overwrite(self, df: DataFrame, partition_by: list[str] | None = None) -> dict:
+    def overwrite(
+        self, df: DataFrame, partition_by: list[str] | None = None, buckets: tuple[str, int] | None = None
+    ) -> dict:
         """Replace the content with a new snapshot: staged, then committed by one log row."""
-        return self.commit(self.stage(df, partition_by))
+        return self.commit(self.stage(df, partition_by, buckets))
 
     def open(self, row) -> DataFrame:
         """The data of a log row, staged or committed."""
         schema = T.StructType.fromJson(json.loads(row["schema_json"]))
+        if any(BUCKETS in f.metadata for f in schema):
+            return self.spark.table(self._bucketed(row["location"], schema))
         return self.spark.read.schema(schema).parquet(row["location"]).select(*schema.fieldNames())
 
+    def _bucketed(self, location: str, schema: T.StructType) -> str:
+        """The catalog's name of a bucketed folder, entered on first use in a session."""
+        name = f"snapshot_{hashlib.sha256(location.encode()).hexdigest()[:32]}"
+        if not self.spark.catalog.tableExists(name):
+            key, number = next((f.name, f.metadata[BUCKETS]) for f in schema if BUCKETS in f.metadata)
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            self.spark.sql(
+                f"CREATE TABLE {name} ({columns}) USING parquet "
+                f"CLUSTERED BY (`{key}`) INTO {int(number)} BUCKETS LOCATION :location",
+                args={"location": location},
+            )
+        return name
+
     def read(self) -> DataFrame:
         """The current version."""
         row = self._latest()
