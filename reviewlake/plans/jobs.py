@@ -25,7 +25,7 @@ from reviewlake.schemas import (
     enforce,
     refuse_personal_columns,
 )
-from reviewlake.session import pin
+from reviewlake.session import parallelism, pin
 from reviewlake.sources.games import read_games
 from reviewlake.sources.raw import RawScan, scan_raw
 from reviewlake.sources.raw_zone import RawZone, purge_raw
@@ -90,7 +90,9 @@ def silver_job(
     """
     scan = scan_raw(lake.spark, lake.raw)
     table = lake.table("silver.reviews")
-    staged = table.stage(refuse_personal_columns(clean_reviews(scan.good, salt)))
+    # cleaning leaves the rows hashed on the review, in as many parts as there are buckets
+    clean = refuse_personal_columns(clean_reviews(scan.good, salt))
+    staged = table.stage(clean, buckets=("review_id", parallelism(lake.spark)))
     quality.assert_quality(table.open(staged), lake.languages)
     written = table.commit(staged)
     lake.table("raw.quarantine").overwrite(scan.quarantine)
@@ -139,7 +141,8 @@ def score_job(lake: Lake) -> dict:
     """Score the clean zone with the champion; scored reviews, daily summary, predictions snapshot."""
     model = champion_model(lake)
     clean = lake.clean()
-    written = lake.table("silver.predictions").overwrite(predictions(clean, model))
+    buckets = ("review_id", parallelism(lake.spark))
+    written = lake.table("silver.predictions").overwrite(predictions(clean, model), buckets=buckets)
     predicted = lake.table("silver.predictions").read()
     scored = refuse_personal_columns(scored_reviews(clean, predicted))
     lake.table("scored.reviews").overwrite(scored)
