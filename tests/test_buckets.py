@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from reviewlake.operators import gold
+from reviewlake.schemas import CLEAN_SCHEMA, PREDICTIONS_SCHEMA
 from reviewlake.sources.snapshots import SnapshotTable
 
 
@@ -33,3 +35,18 @@ def test_bucketed_versions_travel_and_are_found_by_another_session(spark, tmp_pa
         spark.sql(f"DROP TABLE {table.open(row)._jdf.queryExecution().analyzed().collectLeaves().head().catalogTable().get().identifier().table()}")
     assert table.read().count() == 3 and table.read_at(1).count() == 5
     assert table.read().first()["x"] == [2.0]
+
+
+def test_the_fact_is_built_without_an_exchange(spark, tmp_path):
+    stored = []
+    for name, schema in (("silver.reviews", CLEAN_SCHEMA), ("silver.predictions", PREDICTIONS_SCHEMA)):
+        table = SnapshotTable(spark, str(tmp_path), name)
+        table.overwrite(spark.createDataFrame([], schema), buckets=("review_id", 2))
+        stored.append(table.read())
+    reviews, scores = gold.stg_reviews(stored[0]), gold.stg_predictions(stored[1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(gold.fct_review_predictions(reviews, scores))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
