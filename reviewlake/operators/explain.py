@@ -49,7 +49,7 @@ def contribution_sums(reviews: DataFrame, model: LinearModel, text: str = "revie
 
 def _weighted_terms(reviews: DataFrame, model: LinearModel, text: str) -> DataFrame:
     """``(review_id, term, raw, push)``: the weight before normalisation, and that times the coefficient."""
-    docs = with_terms(reviews.select("review_id", text), model.vectorizer, text)
+    docs = with_terms(reviews, model.vectorizer, text)
     known = small_side(
         model.terms.select("term", "idf", "coef_neg"), model.vectorizer.max_features
     )

@@ -61,10 +61,7 @@ def valid_request(text: Column) -> Column:
 def predict_batch(texts: DataFrame, model: LinearModel) -> DataFrame:
     """``(review_id, preview, proba_negative, label, model_version, decision_threshold)``."""
     require_columns(texts, "review_id", "review_text")
-    docs = with_terms(
-        texts.select("review_id", "review_text").withColumn("preview", preview(F.col("review_text"))),
-        model.vectorizer,
-    )
+    docs = with_terms(texts.withColumn("preview", preview(F.col("review_text"))), model.vectorizer)
     decided = with_decision(negative_probability(docs, model, "review_id", "preview"), model)
     return decided.select(
         "review_id",

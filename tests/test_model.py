@@ -290,3 +290,12 @@ def test_model_queries_run_the_operators_defaults():
         (queries.model_bench, "training.model_bench(pin(silver(spark, sf_dir)))"),
     ):
         assert call in inspect.getsource(query)
+
+
+def test_words_of_a_text_are_counted_once_in_statistics(spark):
+    spec = Vectorizer(analyzer="word", ngram_range=(1, 1), min_df=1, max_features=None)
+    docs = with_terms(spark.createDataFrame([("a", "one two one"), ("b", ""), ("c", None)], "i string, review_text string"), spec)
+    counted = term_statistics(docs, spec)
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+    assert {(r["term"], r["df"], r["cf"]) for r in counted.collect()} == {("one", 1, 2), ("two", 1, 1)}
