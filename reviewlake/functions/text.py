@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
@@ -63,8 +63,10 @@ def ngrams_of(padded: str, shortest: int, longest: int) -> list[str]:
     return found
 
 
-#: Words whose n-grams a Python worker keeps at hand.
-KNOWN_WORDS = 200_000
+#: What an analyzer gives, and the rows whose n-grams are in memory at once.
+COUNTED, ROWS_AT_ONCE = "array<struct<term: string, tf: bigint>>", 256
+#: Words whose n-grams a Python worker keeps at hand; two kilobytes each.
+KNOWN_WORDS = 20_000
 
 
 def char_ngram_counts(text: Column, shortest: int = 2, longest: int = 5) -> Column:
@@ -75,25 +77,41 @@ def char_ngram_counts(text: Column, shortest: int = 2, longest: int = 5) -> Colu
     """
 
     def count(words: pa.Array) -> pa.Array:
-        texts, sizes, tf = [], [0], []
-        for row in words:
-            totals: dict[str, int] = {}
-            for word, n in Counter(row.as_py() or ()).items():
-                grams = _NGRAMS.get((word, shortest, longest))
-                if grams is None:
-                    if len(_NGRAMS) >= KNOWN_WORDS:
-                        _NGRAMS.clear()
-                    grams = _NGRAMS[word, shortest, longest] = ngrams_of(word, shortest, longest)
-                for gram in grams:
-                    totals[gram] = totals.get(gram, 0) + n
-            texts += totals
-            tf += totals.values()
-            sizes.append(len(texts))
-        pairs = pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(tf, pa.int64())], ["term", "tf"])
-        return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pairs)
+        return count_ngrams(words, shortest, longest)
 
     count.__annotations__ = {"words": pa.Array, "return": pa.Array}
-    return F.arrow_udf(count, "array<struct<term: string, tf: bigint>>")(padded_words(text))
+    return F.arrow_udf(count, COUNTED)(padded_words(text))
+
+
+def count_ngrams(words: pa.Array, shortest: int, longest: int) -> pa.Array:
+    """The counted n-grams of each list of padded words, in the type of COUNTED."""
+    texts, sizes, tf = [], [0], []
+    for row in words:
+        totals: dict[str, int] = {}
+        for word, n in Counter(row.as_py() or ()).items():
+            grams = _NGRAMS.get((word, shortest, longest))
+            if grams is None:
+                if len(_NGRAMS) >= KNOWN_WORDS:
+                    _NGRAMS.clear()
+                grams = _NGRAMS[word, shortest, longest] = ngrams_of(word, shortest, longest)
+            for gram in grams:
+                totals[gram] = totals.get(gram, 0) + n
+        texts += totals
+        tf += totals.values()
+        sizes.append(len(texts))
+    pairs = pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(tf, pa.int64())], ["term", "tf"])
+    return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pairs)
+
+
+def count_in_pieces(batches: Iterator[pa.RecordBatch], shortest: int, longest: int) -> Iterator[pa.RecordBatch]:
+    """The last column, padded words, becomes counted n-grams; a batch goes on in pieces, since n-grams take many times
+    the room of their text."""
+    for batch in batches:
+        names = [*batch.schema.names[:-1], "terms"]
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            piece = batch.slice(at, ROWS_AT_ONCE)
+            terms = count_ngrams(piece.column(piece.num_columns - 1), shortest, longest)
+            yield pa.RecordBatch.from_arrays([*piece.columns[:-1], terms], names)
 
 
 _NGRAMS: dict[tuple[str, int, int], list[str]] = {}

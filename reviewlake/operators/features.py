@@ -8,7 +8,7 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
-from reviewlake.functions.text import analyzed_counts
+from reviewlake.functions.text import COUNTED, analyzed_counts, count_in_pieces, padded_words
 from reviewlake.operators.selection import keys_at_ranks
 from reviewlake.session import pin, ship_package
 
@@ -39,6 +39,10 @@ def with_terms(df: DataFrame, vectorizer: Vectorizer, text: str = "review_text")
         return df
     if vectorizer.analyzer == "char_wb":
         ship_package(df.sparkSession)
+        shortest, longest = vectorizer.ngram_range
+        schema = T.StructType(df.schema.fields).add("terms", T.DataType.fromDDL(COUNTED))
+        worded = df.withColumn("padded words", padded_words(F.col(text)))
+        return worded.mapInArrow(lambda batches: count_in_pieces(batches, shortest, longest), schema)
     return df.withColumn("terms", vectorizer.counts(F.col(text)))
 
 

@@ -4,11 +4,12 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from reviewlake.functions.decision import label_name, predicted_label, psi_band
-from reviewlake.functions.text import analyzed_counts, shorten
+from reviewlake.functions.text import analyzed_counts, count_in_pieces, shorten
 from reviewlake.operators import explain, serving, training
 from reviewlake.operators.features import Vectorizer, term_statistics, tfidf, vocabulary, with_terms
 from reviewlake.operators.registry import Registry, promotion_history
@@ -299,3 +300,12 @@ def test_words_of_a_text_are_counted_once_in_statistics(spark):
     plan = counted._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all") == 1
     assert {(r["term"], r["df"], r["cf"]) for r in counted.collect()} == {("one", 1, 2), ("two", 1, 1)}
+
+
+def test_char_ngrams_leave_in_small_pieces(spark):
+    texts = [(i, f"word{i} text") for i in range(600)]
+    df = spark.createDataFrame(texts, "i int, review_text string").coalesce(1)
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(600)), pa.array([[" ab "]] * 600)], ["i", "words"])]
+    assert [p.num_rows for p in count_in_pieces(iter(batches), 2, 5)] == [256, 256, 88]
+    for row in with_terms(df, Vectorizer()).collect():
+        assert {x["term"]: x["tf"] for x in row["terms"]} == dict(grams_of(row["review_text"], 2, 5))

@@ -409,7 +409,7 @@ def word_bigrams(spark, sf_dir):
 
 @query
 def char_ngrams(spark, sf_dir):
-    counted = with_terms(silver(spark, sf_dir), CHAR_TERMS)
+    counted = with_terms(silver(spark, sf_dir).select("review_id", "review_text"), CHAR_TERMS)
     return counted.select(
         "review_id",
         F.aggregate("terms", F.lit(0).cast("long"), lambda a, t: a + t["tf"]).alias("n_terms"),
