@@ -309,3 +309,4 @@ def test_char_ngrams_leave_in_small_pieces(spark):
     assert [p.num_rows for p in count_in_pieces(iter(batches), 2, 5)] == [256, 256, 88]
     for row in with_terms(df, Vectorizer()).collect():
         assert {x["term"]: x["tf"] for x in row["terms"]} == dict(grams_of(row["review_text"], 2, 5))
+    assert df.columns == ["i", "review_text"]
