@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewlake.functions.decision import label_name, predicted_label, psi_band
+from reviewlake.functions import text
 from reviewlake.functions.text import analyzed_counts, count_in_pieces, shorten
 from reviewlake.operators import explain, serving, training
 from reviewlake.operators.features import Vectorizer, term_statistics, tfidf, vocabulary, with_terms
@@ -310,3 +311,24 @@ def test_char_ngrams_leave_in_small_pieces(spark):
     for row in with_terms(df, Vectorizer()).collect():
         assert {x["term"]: x["tf"] for x in row["terms"]} == dict(grams_of(row["review_text"], 2, 5))
     assert df.columns == ["i", "review_text"]
+
+
+@pytest.mark.parametrize("largest", [1, 12, 4 << 20])
+def test_single_words_are_counted_over_arrow_in_pieces(spark, monkeypatch, largest):
+    monkeypatch.setattr(text, "WORD_BYTES", largest)
+    texts = ["b a bb BB a1 bb", "", None, "é x", "éa ÉA ⅷ² ζζζ 中中", "I i", "zz _z 11 zz"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "i int, t string").coalesce(1)
+    found = df.select("i", analyzed_counts(F.col("t"), "word", (1, 1)).alias("new"), text.term_counts(text.words(F.col("t"))).alias("old"))
+    assert "ArrowEvalPython" in found._jdf.queryExecution().executedPlan().toString()
+    got = found.collect()
+    assert [r["new"] for r in got] == [r["old"] or [] for r in got]
+    assert {r["i"]: [tuple(p) for p in r["new"]] for r in got}[0] == [("a1", 1), ("bb", 3)]
+
+
+def test_texts_without_brackets_are_not_searched_for_tags(spark):
+    texts = ["[b]bold[/b] [url=x]", "plain  text\n", "[ b ] ]", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").coalesce(1)
+    cleaned = df.select("i", text.clean_text(F.col("t")).alias("c"))
+    assert "Contains(" in cleaned._jdf.queryExecution().optimizedPlan().toString()
+    assert [r["c"] for r in cleaned.orderBy("i").collect()] == ["bold", "plain text", "[ b ] ]", "", ""]
