@@ -8,7 +8,7 @@ from reviewlake.functions.calendar import iso_text
 from reviewlake.functions.decision import is_negative, label_name
 from reviewlake.functions.text import preview, shorten
 from reviewlake.operators.explain import global_terms, local_contributions
-from reviewlake.operators.features import with_terms
+from reviewlake.operators.features import with_countable
 from reviewlake.operators.metrics import LATENCY_WINDOW, endpoint_latency
 from reviewlake.operators.registry import champion
 from reviewlake.operators.scoring import LinearModel, negative_probability, with_decision
@@ -61,7 +61,7 @@ def valid_request(text: Column) -> Column:
 def predict_batch(texts: DataFrame, model: LinearModel) -> DataFrame:
     """``(review_id, preview, proba_negative, label, model_version, decision_threshold)``."""
     require_columns(texts, "review_id", "review_text")
-    docs = with_terms(texts.withColumn("preview", preview(F.col("review_text"))), model.vectorizer)
+    docs = with_countable(texts.withColumn("preview", preview(F.col("review_text"))), model.vectorizer)
     decided = with_decision(negative_probability(docs, model, "review_id", "preview"), model)
     return decided.select(
         "review_id",

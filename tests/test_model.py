@@ -12,9 +12,9 @@ from reviewlake.functions.decision import label_name, predicted_label, psi_band
 from reviewlake.functions import text
 from reviewlake.functions.text import analyzed_counts, count_in_pieces, shorten
 from reviewlake.operators import explain, serving, training
-from reviewlake.operators.features import Vectorizer, term_statistics, tfidf, vocabulary, with_terms
+from reviewlake.operators.features import Vectorizer, term_statistics, tfidf, vocabulary, with_terms, with_words, word_statistics
 from reviewlake.operators.registry import Registry, promotion_history
-from reviewlake.operators.scoring import daily_summary, negative_probability, predictions
+from reviewlake.operators.scoring import LinearModel, daily_summary, negative_probability, predictions
 from reviewlake.schemas import CLEAN_SCHEMA, ContractError, conform
 
 GOOD = "superb lovely smooth charming brilliant delightful polished elegant joyful bright".split()
@@ -332,3 +332,85 @@ def test_texts_without_brackets_are_not_searched_for_tags(spark):
     cleaned = df.select("i", text.clean_text(F.col("t")).alias("c"))
     assert "Contains(" in cleaned._jdf.queryExecution().optimizedPlan().toString()
     assert [r["c"] for r in cleaned.orderBy("i").collect()] == ["bold", "plain text", "[ b ] ]", "", ""]
+
+
+ODD_TEXTS = ["b a bb BB a1 bb", "", None, "é x", "éa ÉA ⅷ² ζζζ 中中", "I i", "zz _z 11 zz", "bb,a1.bb\nzz-zz", "İİ a1\u0307b"]
+
+
+def odd_reviews(spark):
+    rows = [(str(i), t, i % 2) for i, t in enumerate(ODD_TEXTS)] + [("0", "a1 zz", None)]
+    return spark.createDataFrame(rows, "review_id string, review_text string, label long").coalesce(1)
+
+
+@pytest.mark.parametrize("largest", [1, 12, 4 << 20])
+def test_stored_words_give_the_statistics_of_counted_terms(spark, monkeypatch, largest):
+    monkeypatch.setattr(text, "WORD_BYTES", largest)
+    spec = Vectorizer(analyzer="word", ngram_range=(1, 1), min_df=2, max_features=4)
+    reviews = odd_reviews(spark)
+    even = F.col("label") == 0
+    counted = term_statistics(with_terms(reviews, spec), spec, df_marked=F.count_if(even))
+    stored = with_words(reviews).withColumn("even", even)
+    assert sorted(word_statistics(stored, spec, "even").collect()) == sorted(counted.collect())
+    assert "terms" not in stored.columns
+    again = {r["review_id"] + str(r["label"]): r["terms"] for r in with_terms(stored, spec).collect()}
+    assert again == {r["review_id"] + str(r["label"]): r["terms"] for r in with_terms(reviews, spec).collect()}
+
+
+def word_model(spark, weights):
+    terms = spark.createDataFrame(weights, "term string, idf double, coef_neg double")
+    header = spark.createDataFrame([("1", 0.25, 0.6)], "version string, intercept_neg double, threshold double")
+    return LinearModel(terms, header, Vectorizer("word", (1, 1), min_df=1, max_features=100))
+
+
+WEIGHTS = [("bb", 1.5, 0.75), ("a1", 1.25, -0.5), ("zz", 1.0, 0.5), ("11", 1.0, -0.5), ("_z", 1.0, 0.5), ("éa", 2.0, 0.0), ("none", 1.0, 1.0)]
+
+
+@pytest.mark.parametrize("weights", [WEIGHTS, WEIGHTS + [("zz", 1.0, 0.5)], WEIGHTS[1:] + [("bb", 1.5, None)], WEIGHTS[:0]])
+def test_stored_words_give_the_scores_and_contributions_of_counted_terms(spark, weights):
+    model, reviews = word_model(spark, weights), odd_reviews(spark)
+    counted, stored = with_terms(reviews, model.vectorizer), with_words(reviews)
+
+    def scores(docs):
+        found = negative_probability(docs, model, "review_id", "label").collect()
+        return {(r["review_id"], r["label"]): pytest.approx(r["proba_negative"], abs=1e-12) for r in found}
+
+    assert scores(stored) == scores(counted)
+
+    def strongest(docs, n):
+        found = explain.local_contributions(docs, model, n).collect()
+        return sorted(((r["review_id"], r["rank"] or 0, r["term"] or "", round(r["contribution"] or 0, 9)) for r in found))
+
+    for n in (1, 2, 50):
+        assert strongest(stored, n) == strongest(counted, n)
+
+
+def test_no_term_of_a_text_is_shuffled_to_be_scored(spark):
+    model, reviews = word_model(spark, WEIGHTS), with_words(odd_reviews(spark))
+    plan = negative_probability(reviews, model, "review_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Generate" not in plan
+
+
+def test_blanks_and_words_are_found_as_before(spark):
+    blanks = [" ", "\t", "\n", "\x1c", "\x1f", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u202f", "\u205f", "\u3000", "x", "\u200b", "\ufeff"]
+    texts = [f"a{p}{q}{r}b" for p in blanks for q in blanks for r in blanks]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    old = F.regexp_replace("t", r"(?U)[\s\x1c-\x1f]{2,}|[\s\x1c-\x1f&&[^ ]]", " ")
+    assert df.filter(F.regexp_replace("t", text.SPACES_TO_FOLD, " ") != old).count() == 0
+
+
+def test_texts_of_the_tables_are_exchanged_once_for_joins_and_deduplication(spark, tmp_path, monkeypatch):
+    from verification import adapter
+
+    spark.sql("select 1L doc_id, 'one two' text, 'en' lang, 'src1' source").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.sql("select 1L doc_id, 0 quality, 0 toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    event = "select 1L event_id, timestamp_ntz'2024-01-01 00:00:00' ts, 7L user_id, 'view' event_type, 5D value, '{\"k\": 3}' props"
+    spark.sql(event).write.parquet(f"{tmp_path}/events.parquet")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        clean = adapter.silver(spark, str(tmp_path))
+        plan = clean._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 3
+        assert [(r["review_id"], r["review_text"], r["label"]) for r in clean.collect()] == [("1", "one two", 0)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
