@@ -390,7 +390,13 @@ def test_no_term_of_a_text_is_shuffled_to_be_scored(spark):
     assert "Join" not in plan and "Generate" not in plan
 
 
-def test_blanks_and_words_are_found_as_before(spark):
+def test_only_words_that_can_be_strongest_are_ranked(spark):
+    ranked = explain.local_contributions(with_words(odd_reviews(spark)), word_model(spark, WEIGHTS), 2)
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert "strongest(" in plan and plan.count("Join") == 1
+
+
+def test_blanks_are_found_as_before(spark):
     blanks = [" ", "\t", "\n", "\x1c", "\x1f", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u202f", "\u205f", "\u3000", "x", "\u200b", "\ufeff"]
     texts = [f"a{p}{q}{r}b" for p in blanks for q in blanks for r in blanks]
     df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
