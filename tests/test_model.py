@@ -12,7 +12,7 @@ from reviewlake.functions.decision import label_name, predicted_label, psi_band
 from reviewlake.functions import text
 from reviewlake.functions.text import analyzed_counts, count_in_pieces, shorten
 from reviewlake.operators import explain, serving, training
-from reviewlake.operators.features import Vectorizer, term_statistics, tfidf, vocabulary, with_terms, with_words, word_statistics
+from reviewlake.operators.features import Vectorizer, term_statistics, tfidf, vocabulary, with_terms, with_words, word_statistics, word_tfidf
 from reviewlake.operators.registry import Registry, promotion_history
 from reviewlake.operators.scoring import LinearModel, daily_summary, negative_probability, predictions
 from reviewlake.schemas import CLEAN_SCHEMA, ContractError, conform
@@ -384,6 +384,17 @@ def test_stored_words_give_the_scores_and_contributions_of_counted_terms(spark,
         assert strongest(stored, n) == strongest(counted, n)
 
 
+@pytest.mark.parametrize("weights", [WEIGHTS, WEIGHTS + [("zz", 1.0, 0.5)], WEIGHTS[:0]])
+def test_stored_words_give_the_tfidf_of_counted_terms(spark, weights):
+    model, reviews = word_model(spark, weights), odd_reviews(spark).filter("label is not null")
+    found = word_tfidf(with_words(reviews), model.terms, "review_id")
+    if weights == WEIGHTS:
+        assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    expected = tfidf(with_terms(reviews, model.vectorizer), model.terms, "review_id")
+    rows = [sorted((r["review_id"], r["term"], round(r["tfidf"], 12)) for r in frame.collect()) for frame in (found, expected)]
+    assert rows[0] == rows[1]
+
+
 def test_no_term_of_a_text_is_shuffled_to_be_scored(spark):
     model, reviews = word_model(spark, WEIGHTS), with_words(odd_reviews(spark))
     plan = negative_probability(reviews, model, "review_id")._jdf.queryExecution().optimizedPlan().toString()
