@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -24,11 +25,34 @@ NO_WORD = r"[^ \p{L}\p{N}_]"
 
 
 def clean_text(text: Column) -> Column:
-    """Strip tags, fold every kind of blank into one space, trim."""
+    """Strip tags, fold every kind of blank into one space, trim.
+
+    Blanks are what Python splits at, so an Arrow function folds them; a text that is no valid UTF-8 goes by the pattern.
+    """
     given = F.coalesce(text, F.lit(""))
     # looking for a bracket takes a fraction of the pattern's time
     untagged = F.when(F.contains(given, F.lit("[")), F.regexp_replace(given, BBCODE_TAG, "")).otherwise(given)
-    return F.trim(F.regexp_replace(untagged, SPACES_TO_FOLD, " "))
+    folded = _per_text(lambda text: " ".join(text.split()))(untagged)
+    return F.coalesce(folded, F.trim(F.regexp_replace(untagged, SPACES_TO_FOLD, " ")))
+
+
+def _per_text(change: Callable[[str], str]) -> Callable[[Column], Column]:
+    """An Arrow function of one text; null where Python cannot read it or ``change`` cannot encode it.
+
+    The function is complete in itself, so workers need no package for it.
+    """
+
+    def changed(texts: pa.Array) -> pa.Array:
+        found = []
+        for text in texts:
+            try:
+                found.append(change(text.as_py()) if text.is_valid else None)
+            except UnicodeError:
+                found.append(None)
+        return pa.array(found, pa.string())
+
+    changed.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(changed, "string")
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -155,6 +179,8 @@ def term_counts(tokens: Column) -> Column:
     return bind(F.sort_array(tokens), runs)
 
 
+#: What ``spaced_words`` makes of each character of Latin-1: letters and numbers in lower case, a space of any other.
+LATIN_WORDS = "".join(c.lower() if c == "_" or unicodedata.category(c)[0] in "LN" else " " for c in map(chr, range(256))).encode("latin-1")
 #: Bytes of words that are counted at once; ten times that in memory.
 WORD_BYTES = 4 << 20
 
@@ -162,9 +188,12 @@ WORD_BYTES = 4 << 20
 def spaced_words(text: Column) -> Column:
     """The lower-cased text with a space for whatever is no part of a word: its words, to be counted later, in one string.
 
-    Single characters stay in it; whoever counts leaves them out.
+    Single characters stay in it; whoever counts leaves them out. Texts whose characters all have one byte in Latin-1 are
+    looked up in a table of these by an Arrow function, the others go by the pattern.
     """
-    return F.regexp_replace(F.lower(text), NO_WORD, " ")
+    table = LATIN_WORDS
+    looked_up = _per_text(lambda text: text.encode("latin-1").translate(table).decode("latin-1"))(text)
+    return F.coalesce(looked_up, F.regexp_replace(F.lower(text), NO_WORD, " "))
 
 
 def word_pieces(known: Callable[[], pa.Array] | None = None) -> Callable[[pa.Array], Iterator[tuple]]:

@@ -24,6 +24,8 @@ from reviewlake.functions.text import (
 from reviewlake.operators.selection import keys_at_ranks
 from reviewlake.session import pin, ship_package
 
+#: Bytes of counted words that a task adds up before it sends any on, and the rows of a batch that it sends.
+COUNT_BYTES, ROWS_SENT = 64 << 20, 100_000
 BROADCASTABLE_TERMS = 1_000_000  # a vocabulary capped at this size is safe to broadcast
 
 
@@ -113,12 +115,37 @@ def term_statistics(docs: DataFrame, vectorizer: Vectorizer, **extra: Column) ->
 def word_statistics(docs: DataFrame, vectorizer: Vectorizer, marked: str) -> DataFrame:
     """``(term, df, cf, df_marked)`` of stored words, chosen as by ``term_statistics``; ``df_marked`` counts the documents
     whose boolean column ``marked`` is true.
+    """
+    counted = words_of_tasks(docs, marked).groupBy("term").agg(*(F.sum(c).alias(c) for c in ("df", "cf", "df_marked")))
+    return _capped(counted.filter(F.col("df") >= vectorizer.min_df), vectorizer.max_features)
+
 
-    Each task adds up its texts in pieces, so a word of a piece is one row, however many texts hold it.
+def words_of_tasks(docs: DataFrame, marked: str) -> DataFrame:
+    """``(term, df, cf, df_marked)`` as far as each task has them.
+
+    A task adds up its texts in pieces and the pieces in tables of some megabytes, so a word of a table is one row, however
+    many texts hold it.
     """
-    pieces = word_pieces()
+    pieces, names, most = word_pieces(), ["term", "df", "cf", "df_marked"], COUNT_BYTES
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for counts in of_pieces(batches):
+            held, size = [*held, counts], size + counts.nbytes
+            if size > most:
+                held, size = merged(held)
+                if 2 * size > most:
+                    yield from held[0].to_batches(ROWS_SENT)
+                    held, size = [], 0
+        if held:
+            yield from merged(held)[0][0].to_batches(ROWS_SENT)
+
+    def merged(held: list) -> tuple[list, int]:
+        added = pa.concat_tables(held).group_by("term", use_threads=False).aggregate([(c, "sum") for c in names[1:]])
+        total = added.select(["term", *(f"{c}_sum" for c in names[1:])]).rename_columns(names).combine_chunks()
+        return [total], total.nbytes
+
+    def of_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         for batch in batches:
             marks, at = pc.fill_null(batch.column(1), False).to_numpy(zero_copy_only=False), 0
             for rows, terms, row, code, tf in pieces(batch.column(0)):
@@ -128,12 +155,10 @@ def word_statistics(docs: DataFrame, vectorizer: Vectorizer, marked: str) -> Dat
                 of_marked = np.bincount(code[marks[at : at + rows][row]], minlength=n)
                 cf = np.bincount(code, tf, n).astype(np.int64)
                 columns = [terms.take(pa.array(found)), *(pa.array(c[found], pa.int64()) for c in (df, cf, of_marked))]
-                yield pa.RecordBatch.from_arrays(columns, ["term", "df", "cf", "df_marked"])
+                yield pa.Table.from_arrays(columns, names)
                 at += rows
 
-    added = docs.select(WORDS, marked).mapInArrow(add_up, "term string, df long, cf long, df_marked long")
-    counted = added.groupBy("term").agg(*(F.sum(c).alias(c) for c in ("df", "cf", "df_marked")))
-    return _capped(counted.filter(F.col("df") >= vectorizer.min_df), vectorizer.max_features)
+    return docs.select(WORDS, marked).mapInArrow(add_up, "term string, df long, cf long, df_marked long")
 
 
 def _capped(counted: DataFrame, cap: int | None) -> DataFrame:

@@ -431,3 +431,55 @@ def test_texts_of_the_tables_are_exchanged_once_for_joins_and_deduplication(spar
         assert [(r["review_id"], r["review_text"], r["label"]) for r in clean.collect()] == [("1", "one two", 0)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+FOREIGN = ["", " ", "İSTANBUL İ", "ΑΣ ΟΔΟΣ", "Ünïcode ße", "中文 字", "İx", "\U0001f600 ok", "a\u200bb", "ﬁ ﬂ", "Ǆ ǅ", "٣ Ⅷ ²"]
+
+
+def test_blanks_are_folded_by_an_arrow_function_as_by_the_pattern(spark):
+    blanks = [" ", "\t", "\n\r", "\x1c", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u3000", "x", "\u180e", "\ufeff", "[b]"]
+    texts = [f"{p}a{q}{r}b{p}" for p in blanks for q in blanks for r in blanks] + [*FOREIGN, None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    broken = spark.sql("select cast(x'61200920c320e28062ff' as string) t").unionByName(spark.sql("select cast(x'eda08020200a' as string) t"))
+    df = df.unionByName(broken)
+    untagged = F.regexp_replace(F.coalesce("t", F.lit("")), text.BBCODE_TAG, "")
+    old = F.trim(F.regexp_replace(untagged, text.SPACES_TO_FOLD, " "))
+    both = df.select(text.clean_text(F.col("t")).alias("new"), old.alias("old"))
+    assert "ArrowEvalPython" in both._jdf.queryExecution().executedPlan().toString()
+    assert both.filter(~F.col("new").eqNullSafe(F.col("old"))).count() == 0
+
+
+def test_words_of_latin_texts_are_looked_up_as_the_pattern_finds_them(spark):
+    texts = [f"a{chr(c)}B {chr(c)}{chr(c)}" for c in range(256)] + [*FOREIGN, "É中", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1).unionByName(spark.sql("select cast(x'41c320ff42' as string) t"))
+    old = F.regexp_replace(F.lower("t"), text.NO_WORD, " ")
+    both = df.select(text.spaced_words(F.col("t")).alias("new"), old.alias("old"))
+    assert "ArrowEvalPython" in both._jdf.queryExecution().executedPlan().toString()
+    assert both.filter(~F.col("new").eqNullSafe(F.col("old"))).count() == 0
+
+
+@pytest.mark.parametrize("most, rows", [(0, None), (64 << 20, 5)])
+def test_a_task_sends_a_word_once(spark, monkeypatch, most, rows):
+    from reviewlake.operators import features
+
+    monkeypatch.setattr(text, "WORD_BYTES", 1)  # each text is a piece
+    monkeypatch.setattr(features, "COUNT_BYTES", most)
+    docs = [("aa bb aa", True), ("aa cc", False), (None, True), ("bb aa x", None), ("dd ee", True)]
+    df = spark.createDataFrame(docs, f"{features.WORDS} string, marked boolean").coalesce(1)
+    sent = features.words_of_tasks(df, "marked").collect()
+    assert rows is None or len(sent) == rows
+    totals: dict = {}
+    for term, *counts in sent:
+        totals[term] = [a + b for a, b in zip(totals.get(term, [0, 0, 0]), counts)]
+    assert totals == {"aa": [3, 4, 1], "bb": [2, 2, 1], "cc": [1, 1, 0], "dd": [1, 1, 1], "ee": [1, 1, 1]}
+
+
+def test_texts_are_stored_only_for_who_reads_them(spark):
+    from verification.adapter import Star
+
+    folder = "/root/testdata/sf0.001"
+    lean, whole = Star(spark, folder), Star(spark, folder, texts=True)
+    assert "review_text" not in lean.counted.columns and "review_text" in whole.silver.columns
+    kept = ("review_id", "proba_negative", "pred_label")
+    found, wanted = (sorted(map(tuple, s.predictions.select(*kept).collect())) for s in (lean, whole))
+    assert found == wanted and found

@@ -148,11 +148,13 @@ def _version_of(identifier: str) -> F.Column:
 class Star:
     """Everything downstream of silver. Silver is a stored table; scores too, where read repeatedly.
 
-    ``counted`` is silver with its words, found once for the model and all that reads it.
+    ``counted`` is silver with its words, found once for the model and all that reads it. The texts themselves, half of
+    what is stored, are kept only for who reads them (``texts``).
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, store_scores: bool = False):
-        self.counted = pin(with_words(silver(spark, sf_dir)))
+    def __init__(self, spark: SparkSession, sf_dir: str, store_scores: bool = False, texts: bool = False):
+        counted = with_words(silver(spark, sf_dir))
+        self.counted = pin(counted if texts else counted.drop("review_text"))
         self.silver = self.counted.drop(WORDS)
         self.model = count_model(self.counted)
         self.games = games(spark)

@@ -121,7 +121,7 @@ def flow_uniqueness(spark, sf_dir):
 
 @query
 def quality_suite_silver(spark, sf_dir):
-    return _silver_suites(Star(spark, sf_dir, store_scores=True))
+    return _silver_suites(Star(spark, sf_dir, store_scores=True, texts=True))
 
 
 def _silver_suites(star: Star) -> DataFrame:
@@ -145,7 +145,7 @@ def _gold_suites(star: Star) -> DataFrame:
 
 @query
 def quality_verdict(spark, sf_dir):
-    star = Star(spark, sf_dir, store_scores=True)
+    star = Star(spark, sf_dir, store_scores=True, texts=True)
     results = _silver_suites(star).unionByName(_gold_suites(star))
     return quality.suite_verdict(results)
 
@@ -246,7 +246,7 @@ def range_anomalies(spark, sf_dir):
 
 @query
 def predict_batch(spark, sf_dir):
-    star = Star(spark, sf_dir)
+    star = Star(spark, sf_dir, texts=True)
     return rounded(serving.predict_batch(star.counted, star.model), "proba_negative")
 
 
@@ -308,7 +308,7 @@ def dashboard_filter_values(spark, sf_dir):
 
 @query
 def top_negative_reviews(spark, sf_dir):
-    star = Star(spark, sf_dir)
+    star = Star(spark, sf_dir, texts=True)
     ranked = star.predictions.withColumn("proba_negative", F.round("proba_negative", 9))
     view = serving.dashboard_view(ranked, 1086940, "english")
     return serving.top_negative(view, star.silver).drop("label", "pred_label")
@@ -317,7 +317,7 @@ def top_negative_reviews(spark, sf_dir):
 @query
 def scored_counts(spark, sf_dir):
     """Clean reviews joined back to their scores, counted per decision."""
-    star = Star(spark, sf_dir)
+    star = Star(spark, sf_dir, texts=True)
     scored = scored_reviews(star.silver, star.predictions)
     return scored.groupBy("label", "pred_label").agg(
         F.count("*").alias("n_reviews"), F.sum(F.length("review_text").cast("long")).alias("n_chars")
